@@ -19,9 +19,7 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
     The total is summed over the aggregated rows, one per value.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = df.groupBy(column).agg(F.count(column).alias("n")).where(F.col("n") > 0)
     share = F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())
     return counts.withColumn("share_percent", share).orderBy(column)
 

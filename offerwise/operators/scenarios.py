@@ -14,6 +14,7 @@ GRID = tuple(discount_grid(30, 5))  # 0 % to 30 %
 WIDE_GRID = tuple(discount_grid(40, 5))  # 0 % to 40 %
 
 REQUIRED = ("catalog_price", "arpu", "arpu_trend", "duration")
+COHORT_COLUMNS = ("current_arpu", "prev_arpu_actual")
 REPRICED = ("hidden_discount_percentage", "hidden_discount_amount", "arpu", "arpu_trend")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import nan_to_null, softmax
-from offerwise.operators.scenarios import align_features
+from offerwise.operators.scenarios import REPRICED, align_features, at_discount
 from offerwise.schemas import PROBABILITIES
 
 MISSING = "_missing"
@@ -40,25 +40,59 @@ class SoftmaxScorer:
     coefficients: tuple[tuple[float, ...], ...]
     intercepts: tuple[float, ...]
 
-    def margins(self) -> list[Column]:
-        rows = zip(self.coefficients, self.intercepts, strict=True)
+    def _margins(self, start: Sequence[Column], repriced: bool | None) -> list[Column]:
+        """`start` plus the terms of features that do (not) change with an offer, or of all."""
         margins = []
-        for weights, intercept in rows:
-            margin = F.lit(float(intercept))
+        for margin, weights in zip(start, self.coefficients, strict=True):
             for feature, weight in zip(self.features, weights, strict=True):
-                if weight:
+                if weight and repriced in (None, feature in REPRICED):
                     margin = margin + F.lit(float(weight)) * model_input(feature)
             margins.append(margin)
         return margins
 
+    def _aligned(self, df: DataFrame) -> DataFrame:
+        return align_features(df, [f.removesuffix(MISSING) for f in self.features])
+
+    def _intercepts(self) -> list[Column]:
+        return [F.lit(float(b)) for b in self.intercepts]
+
     def __call__(self, df: DataFrame) -> DataFrame:
-        sources = [f.removesuffix(MISSING) for f in self.features]
-        df = align_features(df, sources)
         # Margins first, so that softmax reads them instead of repeating them.
-        names = [f"_margin_{k}" for k in range(len(self.intercepts))]
-        df = df.withColumns(dict(zip(names, self.margins(), strict=True)))
-        p = softmax([F.col(n) for n in names])
-        return df.withColumns(dict(zip(PROBABILITIES, p, strict=True))).drop(*names)
+        margins = self._margins(self._intercepts(), repriced=None)
+        df = self._aligned(df).withColumns(_named("_margin", margins))
+        p = softmax([F.col(f"_margin_{k}") for k in range(3)])
+        return df.withColumns(dict(zip(PROBABILITIES, p, strict=True))).drop(*_MARGINS)
+
+    def at_discounts(self, df: DataFrame, grid: Sequence[float]) -> DataFrame:
+        """Add the probabilities at every discount as p_accept_0, p_downgrade_0, ...
+
+        All repriced features are linear in the discount, and so are the
+        margins: two evaluations give those of any discount.
+        """
+        fixed = self._margins(self._intercepts(), repriced=False)
+        df = self._aligned(df).withColumns(_named("_fixed", fixed))
+        start = [F.col(f"_fixed_{k}") for k in range(3)]
+        for name, discount in (("_full", 0.0), ("_free", 1.0)):
+            repriced = at_discount(df, discount)
+            df = repriced.withColumns(_named(name, self._margins(start, repriced=True)))
+        df = df.withColumns(
+            _named("_slope", [F.col(f"_free_{k}") - F.col(f"_full_{k}") for k in range(3)])
+        )
+        columns = {}
+        for i, discount in enumerate(grid):
+            p = softmax(
+                [F.col(f"_full_{k}") + F.lit(float(discount)) * F.col(f"_slope_{k}")
+                 for k in range(3)]
+            )
+            columns |= {f"{n}_{i}": c for n, c in zip(PROBABILITIES, p, strict=True)}
+        return df.withColumns(columns).drop(*_MARGINS)
+
+
+_MARGINS = [f"{n}_{k}" for n in ("_margin", "_fixed", "_full", "_free", "_slope") for k in range(3)]
+
+
+def _named(prefix: str, columns: Sequence[Column]) -> dict[str, Column]:
+    return {f"{prefix}_{k}": c for k, c in enumerate(columns)}
 
 
 @dataclass(frozen=True)
@@ -74,6 +108,16 @@ class ModelScorer:
         return with_probabilities(scored).select(*kept, *PROBABILITIES)
 
 
+def score_at_discounts(df: DataFrame, scorer: Scorer, grid: Sequence[float]) -> DataFrame:
+    """Probabilities of a prepared cohort at every discount, side by side in one row."""
+    if isinstance(scorer, SoftmaxScorer):
+        return scorer.at_discounts(df, grid)
+    for i, discount in enumerate(grid):
+        df = scorer(at_discount(df, discount))
+        df = df.withColumnsRenamed({p: f"{p}_{i}" for p in PROBABILITIES})
+    return df
+
+
 def with_probabilities(scored: DataFrame) -> DataFrame:
     """Turn whatever a pipeline left behind into three probability columns."""
     if PROBABILITIES[0] in scored.columns:

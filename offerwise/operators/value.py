@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import nan_to_null
-from offerwise.operators.scenarios import GRID, at_discount, prepare_cohort
-from offerwise.operators.scoring import Scorer
+from offerwise.operators.scenarios import COHORT_COLUMNS, GRID, at_discount, prepare_cohort
+from offerwise.operators.scoring import Scorer, score_at_discounts
 from offerwise.schemas import PROBABILITIES
 
 # Fixed value: share of the offered price a downgrading customer still pays.
@@ -61,52 +62,66 @@ def best_offer(
     the features as they are, and only varies the price. Only values greater
     than `above` are eligible; a row without one gets discount 0.
     """
-    df = with_options(cohort, scorer, grid, probs, value=lambda: expected_value(alpha))
-    options = []
-    for name in option_names(grid):
-        value = nan_to_null(F.col(f"{name}.value"))
-        eligible = value.isNotNull() if above is None else value > above
-        options.append(F.when(eligible, F.col(name)))
-    df = df.withColumn("_best", _greatest(options)).drop(*option_names(grid))
-    df = df.withColumn("scenario_id", F.coalesce(-F.col("_best.rank"), F.lit(0)))
-    discounts = F.array(*[F.lit(float(d)) for d in grid])
-    df = at_discount(df, F.get(discounts, F.col("scenario_id")))
-    return df.withColumns(
-        {
-            **{p: F.col(f"_best.{p}") for p in PROBABILITIES},
-            "expected_value": F.col("_best.value"),
-        }
-    ).drop("_best")
-
-
-def option_names(grid: Sequence[float]) -> list[str]:
-    return [f"_option_{i}" for i in range(len(grid))]
+    df, options = with_options(cohort, scorer, grid, probs)
+    values = [nan_to_null(o.value(alpha)) for o in options]
+    if above is not None:
+        values = [F.when(v > above, v) for v in values]
+    df = df.withColumns({f"_value_{i}": v for i, v in enumerate(values)})
+    values = [F.col(f"_value_{i}") for i in range(len(grid))]
+    df = df.withColumn("_best", F.greatest(*values) if len(values) > 1 else values[0])
+    best = F.col("_best")
+    # The first scenario that reaches the best value has the smallest such discount.
+    winner = _first_true([v == best for v in values], range(len(grid)), otherwise=0)
+    df = df.withColumn("_winner", winner)
+    wins = [F.col("_winner") == i for i in range(len(grid))]
+    offer = F.struct(
+        F.col("_winner").alias("scenario_id"),
+        _first_true(wins, [float(d) for d in grid]).alias("discount"),
+        *[
+            F.when(best.isNotNull(), _first_true(wins, [o.p[k] for o in options])).alias(p)
+            for k, p in enumerate(PROBABILITIES)
+        ],
+        best.alias("expected_value"),
+    )
+    # Filters on the offer stay above this generator. Pushed further down they
+    # would repeat the expressions of all scenarios many times over.
+    kept = [c for c in df.columns if c in {*cohort.columns, *COHORT_COLUMNS} - {*PROBABILITIES}]
+    df = df.select(*kept, F.inline(F.array(offer)))
+    return at_discount(df, F.col("discount")).drop("discount")
 
 
-def with_options(
-    cohort: DataFrame,
-    scorer: Scorer,
-    grid: Sequence[float],
-    probs: str,
-    value: Callable[[], Column],
-) -> DataFrame:
-    """A prepared cohort with one struct per discount: value, -scenario id, probabilities.
+def _first_true(conditions: Sequence[Column], results: Sequence, otherwise=None) -> Column:
+    choice = F.when(conditions[0], results[0])
+    for condition, result in zip(conditions[1:], results[1:], strict=True):
+        choice = choice.when(condition, result)
+    return choice if otherwise is None else choice.otherwise(otherwise)
 
-    The structs compare by value, then by lower discount.
-    """
+
+@dataclass(frozen=True)
+class Option:
+    """One discount of a row: its price and outcome probabilities, as columns."""
+
+    offer: Column
+    p: tuple[Column, ...]
+
+    def value(self, alpha: float) -> Column:
+        return self.p[0] * self.offer + self.p[1] * (self.offer * alpha)
+
+
+def with_options(
+    cohort: DataFrame, scorer: Scorer, grid: Sequence[float], probs: str = "rescored"
+) -> tuple[DataFrame, list[Option]]:
+    """A prepared cohort with the probabilities of all scenarios, and the scenarios."""
     if probs not in ("static", "rescored"):
         raise ValueError(f"probs must be 'static' or 'rescored', not {probs!r}")
     df = prepare_cohort(cohort.drop(*PROBABILITIES))
-    if probs == "static":
-        df = scorer(df)
-    for i, name in enumerate(option_names(grid)):
-        df = at_discount(df, grid[i])
-        if probs == "rescored":
-            df = scorer(df)
-        option = F.struct(value().alias("value"), F.lit(-i).alias("rank"), *PROBABILITIES)
-        df = df.withColumn(name, option)
-    return df.drop(*PROBABILITIES)
-
-
-def _greatest(options: Sequence[Column]) -> Column:
-    return F.greatest(*options) if len(options) > 1 else options[0]
+    static = probs == "static"
+    df = scorer(df) if static else score_at_discounts(df, scorer, grid)
+    catalog = F.col("catalog_price").cast("double")
+    return df, [
+        Option(
+            catalog * (1 - F.lit(float(discount))),
+            tuple(F.col(p if static else f"{p}_{i}") for p in PROBABILITIES),
+        )
+        for i, discount in enumerate(grid)
+    ]

@@ -20,7 +20,6 @@ from offerwise.operators.value import (
     DOWNGRADE_RATIO,
     best_offer,
     expected_value,
-    option_names,
     with_options,
 )
 from offerwise.schemas import LABEL, PROBABILITIES, feature_columns
@@ -103,28 +102,15 @@ def alpha_sensitivity(
     """Portfolio value per alpha: best discount each, the flat discount, no discount.
 
     The probabilities do not depend on alpha, so each scenario is scored once
-    and its value is read as accept part + alpha * downgrade part. All alphas
-    come from one pass and one row of sums.
+    and only its value depends on alpha. All alphas come from one pass and one
+    row of sums.
     """
     flat_at = [i for i, d in enumerate(grid) if abs(d - flat) <= 1e-8 + 1e-5 * abs(flat)]
     none_at = [i for i, d in enumerate(grid) if d == 0.0]
-    options = with_options(portfolio, scorer, grid, probs, value=lambda: F.col("offered_price"))
-    parts = options.select(
-        *[
-            part
-            for i, name in enumerate(option_names(grid))
-            for part in (
-                (F.col(f"{name}.p_accept") * F.col(f"{name}.value")).alias(f"accept_{i}"),
-                (F.col(f"{name}.p_downgrade") * F.col(f"{name}.value")).alias(f"downgrade_{i}"),
-            )
-        ]
-    )
-
-    def value(i: int, alpha: float) -> Column:
-        return nan_to_null(F.col(f"accept_{i}") + F.col(f"downgrade_{i}") * alpha)
+    df, options = with_options(portfolio, scorer, grid, probs)
 
     def total(scenarios: Sequence[int], alpha: float) -> Column:
-        values = [value(i, alpha) for i in scenarios]
+        values = [nan_to_null(options[i].value(alpha)) for i in scenarios]
         if not values:
             return F.lit(0.0)
         best = F.greatest(*values) if len(values) > 1 else values[0]
@@ -139,7 +125,7 @@ def alpha_sensitivity(
         )
         for a in alphas
     ]
-    return parts.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).orderBy("alpha")
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).orderBy("alpha")
 
 
 # The high-risk customer whose elasticity is checked.
@@ -183,7 +169,7 @@ def elasticity_curve(
     if quoted:
         profile = override(profile, {"arpu": F.col("catalog_price")})
     df = prepare_cohort(profile)
-    named = option_names(grid)
+    named = [f"_option_{i}" for i in range(len(grid))]
     for i, discount in enumerate(grid):
         df = at_discount(df, discount)
         if quoted:

@@ -496,8 +496,8 @@ ORACLES: dict[str, str] = {
     ),
     "q_external_adapter": _sql(
         """select "customerID", cast("TotalCharges" as double) as "TotalCharges",
-                  "MonthlyCharges", dense_rank() over (order by "Contract") - 1 as "Contract",
-                  dense_rank() over (order by "Segment") - 1 as "Segment", "Churn",
+                  "MonthlyCharges", cast(dense_rank() over (order by "Contract") - 1 as integer) as "Contract",
+                  cast(dense_rank() over (order by "Segment") - 1 as integer) as "Segment", "Churn",
                   case when "Churn" = 'Yes' then 2 when "Contract" = 'Month-to-month' then 1
                        else 0 end as customer_action,
                   round("MonthlyCharges" * 1.15, 4) as catalog_price, "MonthlyCharges" as arpu
