@@ -7,8 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerwise.models import Learner, fit_outcome_model, scorer_of
 from offerwise.operators.scoring import Scorer
-from offerwise.operators.splits import sample_rows
+from offerwise.operators.splits import sample_rows, split
+from offerwise.plans.training import PRODUCTION, labelled
+from offerwise.schemas import feature_columns
 
 
 def quantile_grid(df: DataFrame, feature: str, points: int = 20, accuracy: int = 10_000):
@@ -72,3 +75,24 @@ def falling_steps(curve: DataFrame) -> DataFrame:
             F.coalesce(F.max(F.when(fell, -F.col("step"))), F.lit(0.0)).alias("largest_fall"),
         )
     )
+
+
+def constraint_audit(
+    mart: DataFrame,
+    feature: str = "arpu",
+    points: int = 20,
+    sample: int | None = 1000,
+    key: str = "purchaseid",
+) -> DataFrame:
+    """Churn against price for a free and a price-constrained model, on unseen rows."""
+    rows = labelled(mart)
+    features = feature_columns(rows)
+    if feature not in features:
+        raise ValueError(f"{feature} is not a feature of the input")
+    fitting, unseen = split(rows, key)
+    scorers = {
+        "baseline": scorer_of(fit_outcome_model(fitting, features, Learner())),
+        "constrained": scorer_of(fit_outcome_model(fitting, features, PRODUCTION)),
+    }
+    grid = quantile_grid(unseen, feature, points)
+    return partial_dependence(unseen, scorers, feature, grid, sample, key)

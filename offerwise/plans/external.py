@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerwise.functions import to_number
+from offerwise.models import Learner, fit_outcome_model, scorer_of
 from offerwise.operators.scoring import Scorer
+from offerwise.operators.splits import split
 from offerwise.plans.strategy import strategy_comparison
 from offerwise.schemas import LABEL
 
@@ -95,3 +97,12 @@ def external_policy(adapted: DataFrame, scorer: Scorer, probs: str = "static") -
     return strategy_comparison(portfolio, scorer, probs=probs).select(
         "users", "threshold_discounts", "value_discounts"
     )
+
+
+def external_run(df: DataFrame, seed: int = 42, key: str = "customerID") -> DataFrame:
+    """Adapt, fit the price-constrained model on 70 % and count both policies on the rest."""
+    adapted = adapt_external(df, seed)
+    fitting, unseen = split(adapted, key)
+    learner = Learner(rising_with_price=EXTERNAL_PRICE_FEATURES)
+    model = fit_outcome_model(fitting, external_features(adapted), learner)
+    return external_policy(unseen, scorer_of(model))
