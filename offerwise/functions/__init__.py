@@ -1,4 +1,8 @@
-"""Column expressions used across the operators; all stay inside the JVM."""
+"""Column expressions used across the operators; all stay inside the JVM.
+
+Expressions repeated for every scenario, class or feature are built as SQL text,
+which Spark parses in one call instead of one call per operator.
+"""
 
 from offerwise.functions.columns import (
     arithmetic_bucket,
@@ -9,6 +13,7 @@ from offerwise.functions.columns import (
     is_close,
     month_of,
     nan_to_null,
+    number,
     percent_label,
     safe_ratio,
     softmax,
@@ -24,6 +29,7 @@ __all__ = [
     "is_close",
     "month_of",
     "nan_to_null",
+    "number",
     "percent_label",
     "safe_ratio",
     "softmax",

@@ -43,12 +43,22 @@ def percent_label(share: Column) -> Column:
     return F.concat(F.round(share * 100).cast("int").cast("string"), F.lit("%"))
 
 
-def softmax(margins: Sequence[Column]) -> list[Column]:
-    """Class probabilities; the largest margin is subtracted before exp."""
-    top = F.greatest(*margins)
-    powers = [F.exp(m - top) for m in margins]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
+def number(value: float) -> str:
+    """A Python number as a double literal in SQL text."""
+    return f"{float(value)!r}D"
+
+
+def softmax(margins: Sequence[str]) -> list[str]:
+    """Class probabilities of SQL margins.
+
+    Written as 1 / (1 + sum of exp(other - own)), which cannot turn into NaN
+    when exp overflows and compiles to less code than subtracting the greatest.
+    """
+    shares = []
+    for own in margins:
+        odds = [f"exp({other} - {own})" for other in margins if other != own]
+        shares.append(f"1D / (1D + {' + '.join(odds)})")
+    return shares
 
 
 def discount_grid(top_percent: int = 30, step_percent: int = 5) -> list[float]:

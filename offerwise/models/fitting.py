@@ -22,7 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.operators.scenarios import align_features
-from offerwise.operators.scoring import MISSING, ModelScorer, Scorer, SoftmaxScorer
+from offerwise.operators.scoring import (
+    MISSING,
+    ModelScorer,
+    Scorer,
+    SoftmaxScorer,
+    model_input,
+)
 from offerwise.schemas import LABEL, MISSABLE, OUTCOMES
 
 INPUT = "x_"
@@ -113,13 +119,7 @@ def model_inputs(features: Sequence[str]) -> list[str]:
 
 def input_stages(features: Sequence[str]) -> list:
     """Stages from raw features to the vector: NULL and NaN become 0, flagged where expected."""
-    terms = []
-    for name in model_inputs(features):
-        source = f"nanvl(CAST(`{name.removesuffix(MISSING)}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-        if name.endswith(MISSING):
-            terms.append(f"CAST({source} IS NULL AS DOUBLE) AS `{INPUT}{name}`")
-        else:
-            terms.append(f"coalesce({source}, 0D) AS `{INPUT}{name}`")
+    terms = [f"{model_input(n)} AS `{INPUT}{n}`" for n in model_inputs(features)]
     return [
         SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
         VectorAssembler(

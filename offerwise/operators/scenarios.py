@@ -7,14 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerwise.functions import discount_grid, is_close, safe_ratio
+from offerwise.functions import discount_grid, is_close, number
 from offerwise.schemas import require_columns
 
 GRID = tuple(discount_grid(30, 5))  # 0 % to 30 %
 WIDE_GRID = tuple(discount_grid(40, 5))  # 0 % to 40 %
 
 REQUIRED = ("catalog_price", "arpu", "arpu_trend", "duration")
-COHORT_COLUMNS = ("current_arpu", "prev_arpu_actual")
 REPRICED = ("hidden_discount_percentage", "hidden_discount_amount", "arpu", "arpu_trend")
 
 
@@ -29,38 +28,33 @@ def prepare_cohort(cohort: DataFrame) -> DataFrame:
     )
 
 
-def at_discount(cohort: DataFrame, discount: Column | float) -> DataFrame:
-    """Recompute every price-dependent feature of a prepared cohort at `discount`."""
-    discount = discount if isinstance(discount, Column) else F.lit(float(discount))
-    catalog = F.col("catalog_price").cast("double")
-    offered = catalog * (1 - discount)
-    arpu = safe_ratio(offered, F.col("duration"))
-    return cohort.withColumns(
-        {
-            "simulated_discount": discount,
-            "offered_price": offered,
-            "hidden_discount_percentage": discount,
-            "hidden_discount_amount": catalog - offered,
-            "arpu": arpu,
-            "arpu_trend": arpu - F.col("prev_arpu_actual"),
-        }
-    )
+def at_discount(cohort: DataFrame, discount: float | str) -> DataFrame:
+    """Recompute every price-dependent feature of a prepared cohort.
+
+    `discount` is a number or the name of a column.
+    """
+    share = f"`{discount}`" if isinstance(discount, str) else number(discount)
+    catalog = "cast(catalog_price as double)"
+    offered = f"{catalog} * (1 - {share})"
+    arpu = f"CASE WHEN duration > 0 THEN {offered} / duration ELSE 0D END"
+    repriced = {
+        "simulated_discount": share,
+        "offered_price": offered,
+        "hidden_discount_percentage": share,
+        "hidden_discount_amount": f"{catalog} - {offered}",
+        "arpu": arpu,
+        "arpu_trend": f"{arpu} - prev_arpu_actual",
+    }
+    return cohort.withColumns({name: F.expr(sql) for name, sql in repriced.items()})
 
 
 def expand_scenarios(cohort: DataFrame, grid: Sequence[float] = GRID) -> DataFrame:
     """One row per customer and discount, by exploding literals: no shuffle."""
-    scenarios = F.array(
-        *[
-            F.struct(F.lit(i).alias("scenario_id"), F.lit(float(d)).alias("discount"))
-            for i, d in enumerate(grid)
-        ]
-    )
-    exploded = prepare_cohort(cohort).select("*", F.explode(scenarios).alias("scenario"))
-    return (
-        at_discount(exploded, F.col("scenario.discount"))
-        .withColumn("scenario_id", F.col("scenario.scenario_id"))
-        .drop("scenario")
+    steps = ", ".join(f"struct({i}, {number(d)})" for i, d in enumerate(grid))
+    exploded = prepare_cohort(cohort).selectExpr(
+        "*", f"inline(array({steps})) as (scenario_id, _discount)"
     )
+    return at_discount(exploded, "_discount").drop("_discount")
 
 
 def scenarios_at(expanded: DataFrame, discount: float) -> DataFrame:

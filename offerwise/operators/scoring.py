@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerwise.functions import nan_to_null, softmax
+from offerwise.functions import number, softmax
 from offerwise.operators.scenarios import REPRICED, align_features, at_discount
 from offerwise.schemas import PROBABILITIES
 
@@ -20,12 +20,12 @@ MISSING = "_missing"
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def model_input(feature: str) -> Column:
-    """A feature as models read it: NULL and NaN become 0, '<f>_missing' flags them."""
+def model_input(feature: str) -> str:
+    """SQL of a feature as models read it: NULL and NaN become 0, '<f>_missing' flags them."""
+    source = f"nullif(cast(`{feature.removesuffix(MISSING)}` as double), double('NaN'))"
     if feature.endswith(MISSING):
-        source = F.col(feature.removesuffix(MISSING)).cast("double")
-        return nan_to_null(source).isNull().cast("double")
-    return F.coalesce(nan_to_null(F.col(feature).cast("double")), F.lit(0.0))
+        return f"cast({source} IS NULL as double)"
+    return f"coalesce({source}, 0D)"
 
 
 @dataclass(frozen=True)
@@ -40,59 +40,95 @@ class SoftmaxScorer:
     coefficients: tuple[tuple[float, ...], ...]
     intercepts: tuple[float, ...]
 
-    def _margins(self, start: Sequence[Column], repriced: bool | None) -> list[Column]:
-        """`start` plus the terms of features that do (not) change with an offer, or of all."""
+    def __call__(self, df: DataFrame) -> DataFrame:
+        df = self._with_inputs(df, self.features)
+        margins = self._margins([number(b) for b in self.intercepts], self.features)
+        names = _names("_margin")
+        df = in_between(df, names, margins).drop(*self._input_names(self.features))
+        return df.selectExpr("*", *_as_probabilities(softmax(names))).drop(*names)
+
+    def at_discounts(self, df: DataFrame, grid: Sequence[float]) -> Scenarios:
+        """Probabilities at every discount from two evaluations of the margins.
+
+        All repriced features are linear in the discount, and so are the margins.
+        """
+        changing = [f for f in self.features if f in REPRICED]
+        settled = [f for f in self.features if f not in REPRICED]
+        df = self._with_inputs(df, settled)
+        fixed = self._margins([number(b) for b in self.intercepts], settled)
+        df = in_between(df, _names("_fixed"), fixed).drop(*self._input_names(settled))
+        for name, discount in (("_full", 0.0), ("_free", 1.0)):
+            df = self._with_inputs(at_discount(df, discount), changing)
+            margins = self._margins(_names("_fixed"), changing)
+            df = in_between(df, _names(name), margins).drop(*self._input_names(changing))
+
+        def p_at(discount: str) -> list[str]:
+            return softmax(
+                [f"(_full_{k} + {discount} * (_free_{k} - _full_{k}))" for k in range(3)]
+            )
+
+        return Scenarios(
+            df,
+            [tuple(p_at(number(d))) for d in grid],
+            lambda scenario, discount: p_at(discount),
+        )
+
+    def _input_names(self, features: Sequence[str]) -> list[str]:
+        return [f"_in_{self.features.index(f)}" for f in features]
+
+    def _with_inputs(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
+        """Add clean, never-NULL inputs, read by all three margins."""
+        if not features:
+            return df
+        df = align_features(df, [f.removesuffix(MISSING) for f in features])
+        named = zip(self._input_names(features), features, strict=True)
+        return df.withColumns({name: F.expr(model_input(f)) for name, f in named})
+
+    def _margins(self, start: Sequence[str], features: Sequence[str]) -> list[str]:
+        """`start` plus the weighted inputs of `features`, per class."""
         margins = []
         for margin, weights in zip(start, self.coefficients, strict=True):
-            for feature, weight in zip(self.features, weights, strict=True):
-                if weight and repriced in (None, feature in REPRICED):
-                    margin = margin + F.lit(float(weight)) * model_input(feature)
-            margins.append(margin)
+            weight_of = dict(zip(self.features, weights, strict=True))
+            terms = [
+                f"{number(weight_of[f])} * {name}"
+                for f, name in zip(features, self._input_names(features), strict=True)
+                if weight_of[f]
+            ]
+            margins.append(" + ".join([margin, *terms]))
         return margins
 
-    def _aligned(self, df: DataFrame) -> DataFrame:
-        return align_features(df, [f.removesuffix(MISSING) for f in self.features])
 
-    def _intercepts(self) -> list[Column]:
-        return [F.lit(float(b)) for b in self.intercepts]
+@dataclass(frozen=True)
+class Scenarios:
+    """A cohort scored at several discounts, side by side.
 
-    def __call__(self, df: DataFrame) -> DataFrame:
-        # Margins first, so that softmax reads them instead of repeating them.
-        margins = self._margins(self._intercepts(), repriced=None)
-        df = self._aligned(df).withColumns(_named("_margin", margins))
-        p = softmax([F.col(f"_margin_{k}") for k in range(3)])
-        return df.withColumns(dict(zip(PROBABILITIES, p, strict=True))).drop(*_MARGINS)
+    p: SQL of the three probabilities, per scenario.
+    p_chosen: their SQL at one scenario per row, given the names of the
+    columns that hold its number and its discount.
+    """
 
-    def at_discounts(self, df: DataFrame, grid: Sequence[float]) -> DataFrame:
-        """Add the probabilities at every discount as p_accept_0, p_downgrade_0, ...
+    df: DataFrame
+    p: list[tuple[str, ...]]
+    p_chosen: Callable[[str, str], list[str]]
+
+
+def _as_probabilities(p: Sequence[str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in zip(PROBABILITIES, p, strict=True)]
 
-        All repriced features are linear in the discount, and so are the
-        margins: two evaluations give those of any discount.
-        """
-        fixed = self._margins(self._intercepts(), repriced=False)
-        df = self._aligned(df).withColumns(_named("_fixed", fixed))
-        start = [F.col(f"_fixed_{k}") for k in range(3)]
-        for name, discount in (("_full", 0.0), ("_free", 1.0)):
-            repriced = at_discount(df, discount)
-            df = repriced.withColumns(_named(name, self._margins(start, repriced=True)))
-        df = df.withColumns(
-            _named("_slope", [F.col(f"_free_{k}") - F.col(f"_full_{k}") for k in range(3)])
-        )
-        columns = {}
-        for i, discount in enumerate(grid):
-            p = softmax(
-                [F.col(f"_full_{k}") + F.lit(float(discount)) * F.col(f"_slope_{k}")
-                 for k in range(3)]
-            )
-            columns |= {f"{n}_{i}": c for n, c in zip(PROBABILITIES, p, strict=True)}
-        return df.withColumns(columns).drop(*_MARGINS)
 
+def _names(prefix: str) -> list[str]:
+    return [f"{prefix}_{k}" for k in range(3)]
 
-_MARGINS = [f"{n}_{k}" for n in ("_margin", "_fixed", "_full", "_free", "_slope") for k in range(3)]
 
+def in_between(df: DataFrame, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Add columns through a generator of one row.
 
-def _named(prefix: str, columns: Sequence[Column]) -> dict[str, Column]:
-    return {f"{prefix}_{k}": c for k, c in enumerate(columns)}
+    A filter on what is computed from them is then not pushed down into copies
+    of all their terms, and the generated code before and after it goes into
+    methods of their own. The JVM does not compile methods over 8000 bytes.
+    """
+    generator = f"inline(array(struct({', '.join(columns)})))"
+    return df.selectExpr("*", f"{generator} AS ({', '.join(names)})")
 
 
 @dataclass(frozen=True)
@@ -108,14 +144,29 @@ class ModelScorer:
         return with_probabilities(scored).select(*kept, *PROBABILITIES)
 
 
-def score_at_discounts(df: DataFrame, scorer: Scorer, grid: Sequence[float]) -> DataFrame:
-    """Probabilities of a prepared cohort at every discount, side by side in one row."""
+def score_at_discounts(
+    df: DataFrame, scorer: Scorer, grid: Sequence[float], probs: str = "rescored"
+) -> Scenarios:
+    """Score a prepared cohort at every discount, or with probs='static' once, as it is."""
+    if probs == "static":
+        return Scenarios(scorer(df), [PROBABILITIES] * len(grid), lambda *_: list(PROBABILITIES))
+    if probs != "rescored":
+        raise ValueError(f"probs must be 'static' or 'rescored', not {probs!r}")
     if isinstance(scorer, SoftmaxScorer):
         return scorer.at_discounts(df, grid)
     for i, discount in enumerate(grid):
         df = scorer(at_discount(df, discount))
         df = df.withColumnsRenamed({p: f"{p}_{i}" for p in PROBABILITIES})
-    return df
+    columns = [tuple(f"{p}_{i}" for p in PROBABILITIES) for i in range(len(grid))]
+
+    def p_chosen(scenario: str, discount: str) -> list[str]:
+        chosen = []
+        for k in range(len(PROBABILITIES)):
+            cases = " ".join(f"WHEN {i} THEN {c[k]}" for i, c in enumerate(columns))
+            chosen.append(f"CASE {scenario} {cases} END")
+        return chosen
+
+    return Scenarios(df, columns, p_chosen)
 
 
 def with_probabilities(scored: DataFrame) -> DataFrame:

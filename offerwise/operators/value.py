@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerwise.functions import nan_to_null
-from offerwise.operators.scenarios import COHORT_COLUMNS, GRID, at_discount, prepare_cohort
-from offerwise.operators.scoring import Scorer, score_at_discounts
+from offerwise.functions import nan_to_null, number
+from offerwise.operators.scenarios import GRID, at_discount, prepare_cohort
+from offerwise.operators.scoring import Scenarios, Scorer, score_at_discounts
 from offerwise.schemas import PROBABILITIES
 
 # Fixed value: share of the offered price a downgrading customer still pays.
@@ -62,66 +61,38 @@ def best_offer(
     the features as they are, and only varies the price. Only values greater
     than `above` are eligible; a row without one gets discount 0.
     """
-    df, options = with_options(cohort, scorer, grid, probs)
-    values = [nan_to_null(o.value(alpha)) for o in options]
+    prepared = prepare_cohort(cohort.drop(*PROBABILITIES))
+    scored = score_at_discounts(prepared, scorer, grid, probs)
+    values = [f"nullif({v}, double('NaN'))" for v in option_values(scored, grid, alpha)]
+    df = scored.df.selectExpr("*", *[f"{v} AS _value_{i}" for i, v in enumerate(values)])
     if above is not None:
-        values = [F.when(v > above, v) for v in values]
-    df = df.withColumns({f"_value_{i}": v for i, v in enumerate(values)})
-    values = [F.col(f"_value_{i}") for i in range(len(grid))]
-    df = df.withColumn("_best", F.greatest(*values) if len(values) > 1 else values[0])
-    best = F.col("_best")
+        limit = number(above)
+        df = df.withColumns(
+            {f"_value_{i}": F.expr(f"CASE WHEN _value_{i} > {limit} THEN _value_{i} END")
+             for i in range(len(grid))}
+        )
+    # greatest() needs two arguments; it skips NULLs, so one may be repeated.
+    names = [f"_value_{i}" for i in (*range(len(grid)), 0)]
+    df = df.withColumn("_best", F.expr(f"greatest({', '.join(names)})"))
     # The first scenario that reaches the best value has the smallest such discount.
-    winner = _first_true([v == best for v in values], range(len(grid)), otherwise=0)
-    df = df.withColumn("_winner", winner)
-    wins = [F.col("_winner") == i for i in range(len(grid))]
-    offer = F.struct(
-        F.col("_winner").alias("scenario_id"),
-        _first_true(wins, [float(d) for d in grid]).alias("discount"),
-        *[
-            F.when(best.isNotNull(), _first_true(wins, [o.p[k] for o in options])).alias(p)
-            for k, p in enumerate(PROBABILITIES)
-        ],
-        best.alias("expected_value"),
-    )
+    reached = " ".join(f"WHEN _value_{i} = _best THEN {i}" for i in range(len(grid)))
+    df = df.withColumn("_winner", F.expr(f"CASE {reached} ELSE 0 END"))
+    discounts = " ".join(f"WHEN {i} THEN {number(d)}" for i, d in enumerate(grid))
+    df = df.withColumn("_chosen", F.expr(f"CASE _winner {discounts} END"))
+    p = [f"CASE WHEN _best IS NOT NULL THEN {p} END" for p in scored.p_chosen("_winner", "_chosen")]
+    offer = f"inline(array(struct(_winner, _chosen, {', '.join(p)}, _best)))"
+    columns = ["scenario_id", "_discount", *PROBABILITIES, "expected_value"]
     # Filters on the offer stay above this generator. Pushed further down they
     # would repeat the expressions of all scenarios many times over.
-    kept = [c for c in df.columns if c in {*cohort.columns, *COHORT_COLUMNS} - {*PROBABILITIES}]
-    df = df.select(*kept, F.inline(F.array(offer)))
-    return at_discount(df, F.col("discount")).drop("discount")
-
-
-def _first_true(conditions: Sequence[Column], results: Sequence, otherwise=None) -> Column:
-    choice = F.when(conditions[0], results[0])
-    for condition, result in zip(conditions[1:], results[1:], strict=True):
-        choice = choice.when(condition, result)
-    return choice if otherwise is None else choice.otherwise(otherwise)
-
-
-@dataclass(frozen=True)
-class Option:
-    """One discount of a row: its price and outcome probabilities, as columns."""
-
-    offer: Column
-    p: tuple[Column, ...]
-
-    def value(self, alpha: float) -> Column:
-        return self.p[0] * self.offer + self.p[1] * (self.offer * alpha)
-
-
-def with_options(
-    cohort: DataFrame, scorer: Scorer, grid: Sequence[float], probs: str = "rescored"
-) -> tuple[DataFrame, list[Option]]:
-    """A prepared cohort with the probabilities of all scenarios, and the scenarios."""
-    if probs not in ("static", "rescored"):
-        raise ValueError(f"probs must be 'static' or 'rescored', not {probs!r}")
-    df = prepare_cohort(cohort.drop(*PROBABILITIES))
-    static = probs == "static"
-    df = scorer(df) if static else score_at_discounts(df, scorer, grid)
-    catalog = F.col("catalog_price").cast("double")
-    return df, [
-        Option(
-            catalog * (1 - F.lit(float(discount))),
-            tuple(F.col(p if static else f"{p}_{i}") for p in PROBABILITIES),
-        )
-        for i, discount in enumerate(grid)
-    ]
+    kept = [f"`{c}`" for c in prepared.columns]
+    df = df.selectExpr(*kept, f"{offer} AS ({', '.join(columns)})")
+    return at_discount(df, "_discount").drop("_discount")
+
+
+def option_values(scored: Scenarios, grid: Sequence[float], alpha: float) -> list[str]:
+    """SQL of the expected value of every scenario."""
+    values = []
+    for discount, (p_accept, p_downgrade, _) in zip(grid, scored.p, strict=True):
+        offer = f"cast(catalog_price as double) * (1 - {number(discount)})"
+        values.append(f"({p_accept} * {offer} + {p_downgrade} * ({offer} * {number(alpha)}))")
+    return values

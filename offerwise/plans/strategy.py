@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerwise.functions import even_grid, nan_to_null
+from offerwise.functions import even_grid, nan_to_null, number
 from offerwise.operators.scenarios import (
     GRID,
     WIDE_GRID,
-    at_discount,
+    expand_scenarios,
     override,
     prepare_cohort,
 )
-from offerwise.operators.scoring import Scorer
+from offerwise.operators.scoring import Scorer, in_between, score_at_discounts
 from offerwise.operators.value import (
     DOWNGRADE_RATIO,
     best_offer,
     expected_value,
-    with_options,
 )
 from offerwise.schemas import LABEL, PROBABILITIES, feature_columns
 
@@ -107,25 +106,33 @@ def alpha_sensitivity(
     """
     flat_at = [i for i, d in enumerate(grid) if abs(d - flat) <= 1e-8 + 1e-5 * abs(flat)]
     none_at = [i for i, d in enumerate(grid) if d == 0.0]
-    df, options = with_options(portfolio, scorer, grid, probs)
-
-    def total(scenarios: Sequence[int], alpha: float) -> Column:
-        values = [nan_to_null(options[i].value(alpha)) for i in scenarios]
+    prepared = prepare_cohort(portfolio.drop(*PROBABILITIES))
+    scored = score_at_discounts(prepared, scorer, grid, probs)
+    parts, names = [], []
+    for i, (discount, (p_accept, p_downgrade, _)) in enumerate(zip(grid, scored.p, strict=True)):
+        offer = f"(catalog_price * (1 - {number(discount)}))"
+        parts += [f"{p_accept} * {offer}", f"{p_downgrade} * {offer}"]
+        names += [f"_accept_{i}", f"_downgrade_{i}"]
+    valued = in_between(scored.df, names, parts)
+
+    def total(scenarios: Sequence[int], alpha: float) -> str:
+        values = [
+            f"nullif(_accept_{i} + _downgrade_{i} * {number(alpha)}, double('NaN'))"
+            for i in scenarios
+        ]
         if not values:
-            return F.lit(0.0)
-        best = F.greatest(*values) if len(values) > 1 else values[0]
-        return F.coalesce(F.sum(best), F.lit(0.0))
-
-    rows = [
-        F.struct(
-            F.lit(float(a)).alias("alpha"),
-            total(range(len(grid)), a).alias("dynamic_value"),
-            total(flat_at, a).alias("flat_value"),
-            total(none_at, a).alias("undiscounted_value"),
-        )
+            return "0D"
+        best = f"greatest({', '.join(values)})" if len(values) > 1 else values[0]
+        return f"coalesce(sum({best}), 0D)"
+
+    rows = ", ".join(
+        f"struct({number(a)}, {total(range(len(grid)), a)}, {total(flat_at, a)},"
+        f" {total(none_at, a)})"
         for a in alphas
-    ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).orderBy("alpha")
+    )
+    names = "alpha, dynamic_value, flat_value, undiscounted_value"
+    totals = valued.agg(F.expr(f"array({rows})").alias("rows"))
+    return totals.selectExpr(f"inline(rows) AS ({names})").orderBy("alpha")
 
 
 # The high-risk customer whose elasticity is checked.
@@ -168,39 +175,28 @@ def elasticity_curve(
     profile = override(mean_profile(training, worst), overrides)
     if quoted:
         profile = override(profile, {"arpu": F.col("catalog_price")})
-    df = prepare_cohort(profile)
-    named = [f"_option_{i}" for i in range(len(grid))]
-    for i, discount in enumerate(grid):
-        df = at_discount(df, discount)
-        if quoted:
-            df = df.withColumns(
-                {
-                    "hidden_discount_percentage": F.lit(discount * 100),
-                    "arpu": F.col("offered_price"),
-                    "arpu_trend": F.col("current_arpu") - F.col("prev_arpu_actual"),
-                }
-            )
-        df = scorer(df).withColumn(
-            named[i],
-            F.struct(
-                nan_to_null(expected_value(alpha)).alias("expected_value"),
-                F.lit(-i).alias("rank"),
-                *PROBABILITIES,
-                "simulated_discount",
-                "offered_price",
-            ),
+    offers = expand_scenarios(profile, grid)
+    if quoted:
+        offers = offers.withColumns(
+            {
+                "hidden_discount_percentage": F.col("simulated_discount") * 100,
+                "arpu": F.col("offered_price"),
+                "arpu_trend": F.col("current_arpu") - F.col("prev_arpu_actual"),
+            }
         )
-    eligible = [F.when(F.col(f"{n}.expected_value") > NO_OFFER, F.col(n)) for n in named]
-    best = F.coalesce(F.greatest(*eligible), F.col(named[0]))
+    value = nan_to_null(expected_value(alpha))
+    eligible = F.when(value > NO_OFFER, value)
+    # One customer: the window holds one row per discount.
+    best_first = Window.partitionBy().orderBy(F.desc_nulls_last(eligible), "scenario_id")
     return (
-        df.select(best.alias("best"), F.explode(F.array(*named)).alias("option"))
+        scorer(offers)
         .select(
-            (-F.col("option.rank")).alias("scenario_id"),
-            "option.simulated_discount",
-            "option.offered_price",
-            *[F.col(f"option.{p}") for p in PROBABILITIES],
-            "option.expected_value",
-            (F.col("option.rank") == F.col("best.rank")).alias("is_best"),
+            "scenario_id",
+            "simulated_discount",
+            "offered_price",
+            *PROBABILITIES,
+            value.alias("expected_value"),
+            (F.row_number().over(best_first) == 1).alias("is_best"),
         )
         .orderBy("scenario_id")
     )

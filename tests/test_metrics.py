@@ -88,5 +88,5 @@ def test_small_functions(spark):
     assert value(fn.is_close(F.lit(0.1501), 0.15)) is False
     assert fn.discount_grid() == [0.0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3]
     assert fn.even_grid(0.4, 0.9, 6) == [0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
-    big = fn.softmax([F.lit(1000.0), F.lit(0.0), F.lit(-1000.0)])
-    assert [value(p) for p in big] == [1.0, 0.0, 0.0]
+    big = fn.softmax(["1000D", "0D", "-1000D"])
+    assert [value(F.expr(p)) for p in big] == [1.0, 0.0, 0.0]
