@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import month_of
+from offerwise.operators.lookup import lookup_left_join, skewed_lookup_join
 from offerwise.session import store
 
 SHAPE = ("catalog_month", "duration", "bandwidth", "gig_product", "has_static_ip")
@@ -13,7 +14,6 @@ SHAPE = ("catalog_month", "duration", "bandwidth", "gig_product", "has_static_ip
 # A cell takes well under 100 bytes, so a broadcast stays below 50 MB.
 BROADCAST_CELLS = 500_000
 HOT_CELL_ROWS = 1_000_000
-SALTS = 1024
 
 
 def catalog_cells(purchases: DataFrame) -> DataFrame:
@@ -44,32 +44,11 @@ def with_catalog_price(
     if rows > broadcast_cells:
         cells = store(cells, "catalog-cells")
         if cells.count() > broadcast_cells:
-            return _join_many_cells(shaped, cells, hot_cell_rows).drop("catalog_month")
-    joined = _left_join(shaped, F.broadcast(cells.drop("cell_rows")), SHAPE)
+            # At most (all rows / hot_cell_rows) cells are hot, which bounds the broadcast.
+            hot = cells.where(F.col("cell_rows") > hot_cell_rows).drop("cell_rows")
+            joined = skewed_lookup_join(
+                shaped, cells.drop("cell_rows"), hot, SHAPE, spread_by=F.col("purchaseid")
+            )
+            return joined.drop("catalog_month")
+    joined = lookup_left_join(shaped, F.broadcast(cells.drop("cell_rows")), SHAPE)
     return joined.drop("catalog_month")
-
-
-def _left_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Left join in which NULL keys match each other, keeping the left key columns."""
-    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
-    match = [left[k].eqNullSafe(renamed[f"_{k}"]) for k in keys]
-    return left.join(renamed, match, "left").drop(*[f"_{k}" for k in keys])
-
-
-def _join_many_cells(shaped: DataFrame, cells: DataFrame, hot_cell_rows: int) -> DataFrame:
-    # At most (all rows / hot_cell_rows) cells are hot, which bounds the broadcast.
-    hot = cells.where(F.col("cell_rows") > hot_cell_rows).select(
-        *SHAPE, F.struct("catalog_price").alias("hot")
-    )
-    marked = _left_join(shaped, F.broadcast(hot), SHAPE).withColumn(
-        "salt",
-        F.when(F.col("hot").isNull(), 0).otherwise(
-            1 + F.pmod(F.xxhash64("purchaseid"), F.lit(SALTS))
-        ),
-    )
-    rest = cells.select(*SHAPE, F.lit(0).cast("bigint").alias("salt"), "catalog_price")
-    joined = _left_join(marked, rest, (*SHAPE, "salt"))
-    price = F.when(F.col("hot").isNull(), F.col("catalog_price")).otherwise(
-        F.col("hot.catalog_price")
-    )
-    return joined.withColumn("catalog_price", price).drop("hot", "salt")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from offerwise.functions import hash_bucket
 
 BUCKETS = 10_000
+FINE_BUCKETS = 1 << 20
 DIRECT_SAMPLE_ROWS = 1_000_000
 
 
@@ -28,18 +29,23 @@ def split(
     return df.where(place < limit), df.where(place >= limit)
 
 
+def fine_bucket(key: Column) -> Column:
+    return hash_bucket(key, buckets=FINE_BUCKETS)
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
     key: str = "purchaseid",
     train_share: float = 0.8,
-    bucket: Callable[[Column], Column] = hash_bucket,
+    bucket: Callable[[Column], Column] = fine_bucket,
 ) -> DataFrame:
     """Add `in_train`, true for exactly round(train_share * n) rows of every class.
 
     Rows are taken in order of (bucket, key). A histogram of the buckets tells
-    in which one a class fills up; only that bucket's rows are ranked, so no
-    class is ever sorted as a whole.
+    in which one a class fills up; only that bucket's rows are ranked, about a
+    millionth of a class, so no class is ever sorted as a whole. `key` must be
+    unique.
     """
     placed = df.withColumn("_bucket", bucket(F.col(key)))
     sizes = placed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("n"))

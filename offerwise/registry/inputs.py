@@ -19,6 +19,7 @@ from offerwise.sources.purchases import purchases_from_orders
 from offerwise.sources.tables import read_mart, write_mart
 
 AS_OF = "2001-08-01"  # the latest order date of every test scale
+PURCHASE_TABLES = ("orders", "lineitem", "part")
 STATIC_IP = "%ring%"  # stands in for the product-name pattern
 
 # Known coefficients, so that scored results can be computed in SQL as well.
@@ -43,8 +44,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFr
 
 
 def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("orders", "lineitem", "part")
-    return purchases_from_orders(*[table(spark, sf_dir, n) for n in names])
+    return purchases_from_orders(*[table(spark, sf_dir, n) for n in PURCHASE_TABLES])
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

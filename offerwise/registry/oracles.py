@@ -521,6 +521,8 @@ ORACLES: dict[str, str] = {
 
 # Other ways to the same result.
 ORACLES |= {
+    "q_staging_hot_parts": ORACLES["q_staging"],
+    "q_external_csv": ORACLES["q_external_adapter"],
     "q_catalog_price_many_cells": ORACLES["q_catalog_price"],
     "q_mart_split_history": ORACLES["q_mart"],
     "q_mart_parquet_roundtrip": ORACLES["q_mart"],

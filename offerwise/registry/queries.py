@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from offerwise.functions import arithmetic_bucket, even_grid
 from offerwise.operators import metrics, splits
-from offerwise.operators.catalog import with_catalog_price
-from offerwise.operators.history import with_history
+from offerwise.operators.catalog import HOT_CELL_ROWS, with_catalog_price
+from offerwise.operators.history import CHUNK_ROWS, HOT_USER_ROWS, with_history
 from offerwise.operators.labels import customer_action
 from offerwise.operators.scenarios import expand_scenarios, scenarios_at
 from offerwise.operators.scoring import hard_prediction
@@ -23,6 +23,7 @@ from offerwise.registry.model_queries import MODEL_QUERIES
 from offerwise.schemas import FEATURES, LABEL, PROBABILITIES, cohort_schema
 from offerwise.session import scratch_path
 from offerwise.sources import tables
+from offerwise.sources.purchases import HOT_PART_LINES, purchases_from_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +45,11 @@ def probabilities(df: DataFrame) -> DataFrame:
     return rounded(df, **{p: 6 for p in PROBABILITIES})
 
 
+def fraction(df: DataFrame, parts: int, limit: int) -> int:
+    """A part of the rows, so that the ways for skewed data are also taken on small tables."""
+    return min(limit, 1 + df.count() // parts)
+
+
 # --- purchase log and mart -------------------------------------------------------------
 
 
@@ -53,6 +59,16 @@ def q_staging(spark, sf_dir):
     return staged.withColumn("price", F.col("price").cast("double"))
 
 
+@query
+def q_staging_hot_parts(spark, sf_dir):
+    """The way taken when some parts are on very many lines."""
+    orders, lineitem, part = (inputs.table(spark, sf_dir, n) for n in inputs.PURCHASE_TABLES)
+    limit = fraction(lineitem, 1700, HOT_PART_LINES)
+    log = purchases_from_orders(orders, lineitem, part, hot_part_lines=limit)
+    staged = mart_plan.stage_purchases(log, inputs.STATIC_IP)
+    return staged.withColumn("price", F.col("price").cast("double"))
+
+
 def _catalog(spark, sf_dir, **limits):
     priced = with_catalog_price(inputs.staged(spark, sf_dir), **limits)
     return priced.select(*KEY, F.col("catalog_price").cast("double").alias("catalog_price"))
@@ -66,7 +82,8 @@ def q_catalog_price(spark, sf_dir):
 @query
 def q_catalog_price_many_cells(spark, sf_dir):
     """The way taken when the cells are too many to broadcast."""
-    return _catalog(spark, sf_dir, broadcast_cells=100, hot_cell_rows=10)
+    limit = fraction(inputs.purchases(spark, sf_dir), 1500, HOT_CELL_ROWS)
+    return _catalog(spark, sf_dir, broadcast_cells=100, hot_cell_rows=limit)
 
 
 def _history(spark, sf_dir):
@@ -133,7 +150,13 @@ def q_mart(spark, sf_dir):
 @query
 def q_mart_split_history(spark, sf_dir):
     """The mart with large customers' histories split into chunks."""
-    return inputs.built_mart(spark, sf_dir, hot_user_rows=12, chunk_rows=500)
+    log = inputs.purchases(spark, sf_dir)
+    return inputs.built_mart(
+        spark,
+        sf_dir,
+        hot_user_rows=fraction(log, 1200, HOT_USER_ROWS),
+        chunk_rows=fraction(log, 30, CHUNK_ROWS),
+    )
 
 
 @query
@@ -459,4 +482,16 @@ def q_external_adapter(spark, sf_dir):
     return rounded(adapted.drop("arpu_trend"), catalog_price=4)
 
 
+@query
+def q_external_csv(spark, sf_dir):
+    """The same from a landed CSV file."""
+    path = scratch_path(spark, "churn-csv")
+    export = inputs.churn_export(spark, sf_dir)
+    export.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    adapted = external.adapt_external(tables.read_churn_csv(spark, path, export.schema))
+    return rounded(adapted.drop("arpu_trend"), catalog_price=4)
+
+
 QUERIES.update(MODEL_QUERIES)

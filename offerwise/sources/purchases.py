@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerwise.operators.lookup import skewed_lookup_join
 from offerwise.schemas import MONEY, purchases_schema, require_columns
+from offerwise.session import store
 
 
 def read_purchases(spark: SparkSession, source: str, kind: str = "parquet") -> DataFrame:
@@ -23,8 +25,28 @@ def read_purchases(spark: SparkSession, source: str, kind: str = "parquet") -> D
     )
 
 
+# A part on more lines than this is kept out of the shuffle.
+HOT_PART_LINES = 1_000_000
+
+
+def _with_part_names(lineitem: DataFrame, part: DataFrame, hot_part_lines: int) -> DataFrame:
+    names = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    if lineitem.count() > hot_part_lines:
+        frequent = lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+        frequent = store(frequent.where(F.col("n") > hot_part_lines), "hot-parts")
+        if not frequent.isEmpty():
+            # At most (all lines / hot_part_lines) parts, which bounds the broadcasts.
+            hot = names.join(F.broadcast(frequent), "l_partkey", "left_semi")
+            line = F.struct("l_orderkey", "l_linenumber")
+            return skewed_lookup_join(lineitem, names, hot, ["l_partkey"], spread_by=line)
+    return lineitem.join(names, "l_partkey", "left")
+
+
 def purchases_from_orders(
-    orders: DataFrame, lineitem: DataFrame, part: DataFrame
+    orders: DataFrame,
+    lineitem: DataFrame,
+    part: DataFrame,
+    hot_part_lines: int = HOT_PART_LINES,
 ) -> DataFrame:
     """Read an order table as a purchase log: a customer's orders are the purchases.
 
@@ -32,7 +54,7 @@ def purchases_from_orders(
     meet the orders; an order without lines stays.
     """
     lines = (
-        lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"], "left")
+        _with_part_names(lineitem, part, hot_part_lines)
         .groupBy("l_orderkey")
         .agg(
             F.max("l_quantity").alias("top_quantity"),
