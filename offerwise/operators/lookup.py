@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 1024
+# Salts replicate nothing, so there can be as many as it takes.
+SALTS = 1 << 31
 
 
 def lookup_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

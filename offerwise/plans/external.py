@@ -20,6 +20,8 @@ TREND_SPREAD = 5.0
 NOT_FEATURES = ("customerID", "Churn", "TotalCharges", LABEL)
 EXTERNAL_PRICE_FEATURES = ("catalog_price", "arpu")
 
+MOST_CATEGORIES = 100_000
+
 
 def external_outcome() -> Column:
     """Churned: 2; staying without a contract term: 1; else 0."""
@@ -64,10 +66,18 @@ def text_features(df: DataFrame) -> list[str]:
 
 
 def encode_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Replace text columns by the rank of each value among the sorted values, from 0."""
+    """Replace text columns by the rank of each value among the sorted values, from 0.
+
+    The sorted values of a column are held on the driver, so a column of free
+    text or ids is refused; drop it first.
+    """
     columns = text_features(df) if columns is None else columns
     if not columns:
         return df
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    large = [c for c, n in sizes.items() if n > MOST_CATEGORIES]
+    if large:
+        raise ValueError(f"too many distinct values to encode: {', '.join(large)}")
     codes = [f"_code_{c}" for c in columns]
     indexer = StringIndexer(
         inputCols=columns, outputCols=codes, stringOrderType="alphabetAsc"

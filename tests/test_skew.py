@@ -11,6 +11,7 @@ from offerwise.operators.catalog import with_catalog_price
 from offerwise.operators.history import with_history
 from offerwise.plans.mart import build_mart, stage_purchases
 from offerwise.schemas import purchases_schema
+from offerwise.sources.purchases import purchases_from_orders
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +67,24 @@ def test_stored_but_few_cells_are_broadcast(log):
     assert rows_of(few) == rows_of(with_catalog_price(staged))
 
 
+@pytest.mark.parametrize("hot_part_lines", [3, 50, 10_000])
+def test_hot_parts_do_not_change_the_log(spark, hot_part_lines):
+    orders = spark.range(40).selectExpr(
+        "id o_orderkey", "id % 7 o_custkey", "id * 1.5 o_totalprice",
+        "timestamp_ntz'2024-01-01 00:00:00' o_orderdate", "'2-HIGH' o_orderpriority",
+    )
+    lines = spark.range(120).selectExpr(
+        "id % 39 l_orderkey", "if(id % 3 = 0, null, if(id % 2 = 0, 1, id)) l_partkey",
+        "cast(id as int) l_linenumber", "cast(id % 45 as double) l_quantity",
+        "if(id % 5 = 0, 'R', 'N') l_returnflag", "if(id % 4 = 0, 'O', 'F') l_linestatus",
+    )
+    part = spark.range(100).selectExpr("id p_partkey", "concat('part ', id) p_name")
+    plain = purchases_from_orders(orders, lines, part)
+    split = purchases_from_orders(orders, lines, part, hot_part_lines=hot_part_lines)
+    assert rows_of(split) == rows_of(plain)
+    assert split.count() == 40
+
+
 def test_mart_does_not_depend_on_layout(log):
     built = build_mart(log, "2024-08-01")
     again = build_mart(log.repartition(1), "2024-08-01", hot_user_rows=30, chunk_rows=20,

@@ -123,7 +123,7 @@ def test_target_list_truncates_and_adapts(cohort):
 
 
 def test_strategy_counts(cohort):
-    portfolio = cohort.where("catalog_price > 0").withColumn(
+    portfolio = cohort.where("catalog_price > 0 and not isnan(catalog_price)").withColumn(
         "risk", F.when(F.col("username") == "a", 0.5).otherwise(0.6)
     )
     row = strategy.strategy_comparison(portfolio, SCORER, risk="risk").first()
