@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerwise.models.fitting import Learner, assemble_model, model_inputs, training_vectors
@@ -36,31 +39,45 @@ def calibrate(
     """
     placed = train.withColumn("fold", fold_of(F.col(key), folds))
     kept = ["fold", *([weight] if weight else [])]
-    models, scored = [], []
+
+    def fit_fold(fold: int) -> PipelineModel:
+        classifiers = learner.classifiers(model_inputs(features), weight, f"_{fold}")
+        return Pipeline(stages=classifiers).fit(vectors.where(F.col("fold") != fold))
+
     with training_vectors(placed, features, kept) as vectors:
-        for fold in range(folds):
-            classifiers = learner.classifiers(model_inputs(features), weight, f"_{fold}")
-            fitted = Pipeline(stages=classifiers).fit(vectors.where(F.col("fold") != fold))
-            models.append(fitted)
-            held_out = fitted.transform(vectors.where(F.col("fold") == fold))
-            scored.append(_binned(held_out, learner, fold, weight))
-        points = scored[0]
-        for more in scored[1:]:
-            points = points.unionByName(more)
-        points = store(points, "calibration-points")
+        models = _side_by_side(train.sparkSession, fit_fold, range(folds))
+        scored = [
+            _binned(fitted.transform(vectors.where(F.col("fold") == fold)), learner, fold, weight)
+            for fold, fitted in enumerate(models)
+        ]
+        points = store(reduce(DataFrame.unionByName, scored), "calibration-points")
+
+    def fit_isotonic(target: tuple[int, int]):
+        fold, k = target
+        column, index = _score_column(learner, fold, k)
+        isotonic = IsotonicRegression(
+            featuresCol="score", labelCol="share", weightCol="weight",
+            predictionCol=f"calibrated_{fold}_{k}",
+        ).fit(points.where((F.col("fold") == fold) & (F.col("outcome") == k)))
+        return isotonic.setFeaturesCol(column).setFeatureIndex(index)
+
+    targets = [(fold, k) for fold in range(folds) for k in OUTCOMES]
+    curves = dict(
+        zip(targets, _side_by_side(train.sparkSession, fit_isotonic, targets), strict=True)
+    )
     stages = []
     for fold, fitted in enumerate(models):
-        stages += fitted.stages
-        for k in OUTCOMES:
-            column, index = _score_column(learner, fold, k)
-            isotonic = IsotonicRegression(
-                featuresCol="score", labelCol="share", weightCol="weight",
-                predictionCol=f"calibrated_{fold}_{k}",
-            ).fit(points.where((F.col("fold") == fold) & (F.col("outcome") == k)))
-            stages.append(isotonic.setFeaturesCol(column).setFeatureIndex(index))
+        stages += [*fitted.stages, *[curves[fold, k] for k in OUTCOMES]]
     return assemble_model(features, [*stages, _average(folds)])
 
 
+def _side_by_side(spark: SparkSession, fit: Callable, items: Iterable) -> list:
+    """Independent fits, run at the same time so that their jobs share the executors."""
+    tasks = [inheritable_thread_target(spark)(partial(fit, item)) for item in items]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return list(pool.map(lambda task: task(), tasks))
+
+
 def _score_column(learner: Learner, fold: int, outcome: int) -> tuple[str, int]:
     """The probability vector that scores an outcome, and the position in it."""
     if learner.family == "boosted":
