@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.llm import bpe, exact, mixing, simhash, toxicity
+from offerwise.llm import bpe, crf, exact, importance, mixing, simhash, simple8b, toxicity
 from offerwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op4_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn = labels.where(~held_out(5, 0) & F.col("quality").isNotNull())
+    share = learn.agg(F.avg("quality")).first()[0]
+    ratios = importance.fit(docs, learn.where("quality = 1"))
+    return importance.resampled(docs, ratios, 1.0 if share is None else share)
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -60,6 +70,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, index, keep=["doc_id"]).withColumn("held_out", held_out(5, 0))
 
 
+@query
+def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.packed_tokens(documents(spark, sf_dir))
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = crf.fit(docs, ~held_out(3, 1))
+    found = crf.labelled(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.withColumn("held_out", held_out(3, 1))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))

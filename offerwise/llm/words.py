@@ -75,7 +75,13 @@ def spans(data: np.ndarray, bounds: np.ndarray, letters: bool = False):
     return starts, np.flatnonzero(finish) + 1, np.searchsorted(starts, bounds)
 
 
-@lru_cache(maxsize=1)
+def letters_before(data: np.ndarray) -> np.ndarray:
+    """ASCII letters before each position, and in all."""
+    low = _LOWER[data]
+    return np.concatenate(([0], np.cumsum((low >= ord("a")) & (low <= ord("z")))))
+
+
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_BASE, _INVERSE):
