@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.llm import bpe, crf, exact, importance, mixing, simhash, simple8b, toxicity
+from offerwise.llm import bpe, crf, exact, importance, mixing, neighbours, simhash, simple8b, toxicity
 from offerwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).drop("_row", "passes")
 
 
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir))
