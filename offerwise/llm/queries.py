@@ -18,11 +18,13 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package from where it lies here. On a cluster that
-    has it elsewhere, --py-files or the image provides it."""
+    """Let Python workers import this package from where it lies here, and keep what they get
+    small. On a cluster that has it elsewhere, --py-files or the image provides it."""
     given = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in given.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [given, ROOT]))
+    # Batches bounded by bytes: ten thousand long texts would not fit a worker.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def query(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 1 << 20
 
 # ASCII white space as the contracts list it.
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -102,7 +102,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     """A 64-bit hash of each span of bytes, the same for equal spans anywhere."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    size = 1 << max(BLOCK_BYTES.bit_length(), int(len(data)).bit_length())
+    size = 1 << max((BLOCK_BYTES - 1).bit_length(), int(len(data)).bit_length())
     power, inverse = _powers(size)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
