@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.llm import bpe, crf, exact, importance, mixing, neighbours, simhash, simple8b, toxicity
+from offerwise.llm import bpe, crf, exact, importance, mixing, neighbours, runindex, simhash, simple8b, toxicity
 from offerwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, index, keep=["doc_id"]).withColumn("held_out", held_out(5, 0))
 
 
+@query
+def op6_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.without_repeats(documents(spark, sf_dir))
+
+
 @query
 def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.packed_tokens(documents(spark, sf_dir))

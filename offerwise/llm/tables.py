@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,4 +43,11 @@ def one_each(docs: DataFrame, keepers: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
-__all__ = ["attach", "documents", "one_each", "store"]
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of jobs whose results are stored: Spark drops them when the
+    driver's garbage is collected, which else may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+__all__ = ["attach", "documents", "one_each", "release", "store"]
