@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerwise.llm import bpe, exact, mixing, simhash, toxicity
+from offerwise.llm.columns import aside
 from offerwise.llm.queries import reach
 from offerwise.llm.tables import documents
 from offerwise.session import store
@@ -18,7 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     index = toxicity.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
-    return toxicity.scored(docs, index).where("predicted = 0").select(*docs.columns)
+    names = toxicity.RESULT.names
+    return aside(docs, names, lambda d: toxicity.scored(d, index).where("predicted = 0"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

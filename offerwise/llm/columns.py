@@ -26,19 +26,17 @@ def with_results(
     """
     names = set(added.names)
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    packed = df.select(
-        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)],
-        *[F.col(f"`{c}`").alias(f"i{i}") for i, c in enumerate(inputs)],
-    )
-    fields = [packed.schema[f"k{i}"] for i in range(len(kept))]
-    schema = StructType([*fields, *from_arrow_schema(added).fields])
-    n, m = len(kept), len(inputs)
+    # A column that is kept and an input is sent to Python once.
+    sent = [*kept, *[c for c in dict.fromkeys(inputs) if c not in kept]]
+    packed = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(sent)])
+    schema = StructType([*packed.schema.fields[: len(kept)], *from_arrow_schema(added).fields])
+    n, places = len(kept), [sent.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             given = pa.RecordBatch.from_arrays(
-                [batch.column(n + i) for i in range(m)], names=[f"i{i}" for i in range(m)]
+                [batch.column(i) for i in places], names=[f"i{i}" for i in range(len(places))]
             )
             for made in results(given):
                 rest = batch.slice(at, made.num_rows)
@@ -48,7 +46,16 @@ def with_results(
                 )
                 at += made.num_rows
 
-    # Columns kept as they are may share a name only with inputs, never with each other.
     return packed.mapInArrow(run, schema).withColumnsRenamed(
         {f"k{i}": c for i, c in enumerate(kept)}
     )
+
+
+def aside(
+    df: DataFrame, names: Sequence[str], job: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`job(df)` with the columns of `df`, where the job adds columns called `names`: those of
+    `df` that are called so are renamed meanwhile and keep their values."""
+    hidden = {c: f"_aside_{c}" for c in df.columns if c in names}
+    done = job(df.withColumnsRenamed(hidden))
+    return done.select(*[F.col(f"`{hidden.get(c, c)}`").alias(c) for c in df.columns])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.llm import words
-from offerwise.llm.columns import with_results
+from offerwise.llm.columns import aside, with_results
 from offerwise.llm.tables import attach, one_each, store
 
 SLOTS = 4
@@ -138,6 +138,10 @@ def _sharded(groups: DataFrame, shards: int) -> DataFrame:
     return groups.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int"))
 
 
+def _larger(a, b):
+    return b if a is None else a if b is None else max(a, b)
+
+
 def _rows(digest: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(digest), np.uint8).reshape(-1, 32)
 
@@ -162,6 +166,8 @@ def _changed(index: Index | None, groups: DataFrame, adding: bool) -> Index:
 
     def apply(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         shard = (old if len(old) else new)["shard"].iloc[0]
+        # Keys may be of any type, and NULL: as objects they stay what they are.
+        old, new = (t.assign(keep=t["keep"].astype(object).where(t["keep"].notna(), None)) for t in (old, new))
         holds = old[old["digest"].notna()].set_index("digest")[["n", "keep"]]
         marks = old[old["digest"].isna()]
         new = new.set_index("digest")[["n", "keep"]]
@@ -175,23 +181,33 @@ def _changed(index: Index | None, groups: DataFrame, adding: bool) -> Index:
         stored = np.zeros(len(new), bool)
         stored[hit] = new.index[hit].isin(holds.index)
         known = new[stored]
+        n, kept = known["n"], known["keep"]
         if adding:
-            n = holds["n"].reindex(known.index) + known["n"]
-            kept = pd.concat([holds["keep"].reindex(known.index), known["keep"]], axis=1).max(axis=1)
-        else:
-            n, kept = known["n"], known["keep"]
+            n = holds["n"].reindex(known.index) + n
+            kept = pd.Series(
+                map(_larger, holds["keep"].reindex(known.index), kept), known.index, object
+            )
         gone = n.index[n == 0]
         if len(gone):
             seen.delete(_rows(gone))
         more = new[~stored & (new["n"] > 0).to_numpy()]
-        changed = pd.DataFrame({"n": n, "keep": kept}).drop(gone).astype(holds.dtypes.to_dict())
-        after = pd.concat([holds.drop(known.index), changed, more.astype(holds.dtypes.to_dict())])
+        changed = pd.DataFrame({"n": n, "keep": kept}).drop(gone)
+        parts = [p for p in (holds.drop(known.index), changed, more) if len(p)]
+        after = pd.concat(parts) if parts else holds
         crowded = len(after) > FULLEST * SLOTS * seen.buckets
         if len(more) and (crowded or not seen.insert(_rows(more.index))):
             seen = filled(_rows(after.index), 2 * len(after))
-        out = after.reset_index(names="digest").assign(shard=shard, buckets=None, marks=None)
-        own = {"shard": [shard], "buckets": [seen.buckets], "marks": [seen.table.tobytes()]}
-        return pd.concat([out, pd.DataFrame(own)])[["shard", "digest", "n", "keep", "buckets", "marks"]]
+        out = pd.DataFrame(
+            {
+                "shard": shard,
+                "digest": [None, *after.index],
+                "n": pd.array([None, *after["n"]], "Int64"),
+                "keep": pd.Series([None, *after["keep"]], dtype=object),
+                "buckets": pd.array([seen.buckets, *[None] * len(after)], "Int64"),
+                "marks": pd.Series([seen.table.tobytes(), *[None] * len(after)], dtype=object),
+            }
+        )
+        return out
 
     made = store(
         state.groupBy("shard")
@@ -285,7 +301,6 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     Of rows that repeat key and text one stays.
     """
-    marked = digests(docs.withColumn("_text", F.col(text)), "_text").drop("_text")
     kept = exact_duplicates(docs, key, text).where("kept")
     keepers = kept.select(key, F.unhex("text_sha256").alias("digest"))
-    return one_each(marked, keepers, [key, "digest"]).select(*docs.columns)
+    return aside(docs, ["digest"], lambda d: one_each(digests(d, text), keepers, [key, "digest"]))

@@ -82,7 +82,7 @@ def weighted(docs: DataFrame, ratios: np.ndarray, text: str = "text", keep=None)
             n = len(bounds) - 1
             columns = [
                 pa.array(np.bincount(texts, minlength=n)),
-                pa.array(np.bincount(texts, weights=table[bucket], minlength=n)),
+                pa.array(np.bincount(texts, weights=table[bucket], minlength=n).astype(float)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["n_grams", "log_weight"])
 
