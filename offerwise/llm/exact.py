@@ -30,7 +30,7 @@ from offerwise.llm.tables import attach, one_each, store
 SLOTS = 4
 MAX_KICKS = 200
 FULLEST = 0.9
-KEYS_PER_SHARD = 100_000
+KEYS_PER_SHARD = 10_000
 
 
 class CuckooFilter:
