@@ -462,6 +462,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         ),
         "repeat-distinct",
     )
+    release(spark)
     shards = max(1, distinct.count() // SHARD)
     found = (
         _strings(distinct, frequent, shards)
