@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from offerwise.registry import inputs
 from offerwise.registry.queries import QUERIES
+from offerwise.session import clear_stored
 
 HEADLINE = [
     "q_staging",
@@ -38,6 +40,10 @@ HEADLINE = [
     "q_partial_dependence",
     "q_constrained_scores",
     "q_calibrated_scores",
+    "q_calibrated_offers",
+    "q_boosted_scores",
+    "q_tuning",
+    "q_train_report",
 ]
 
 
@@ -50,6 +56,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -80,6 +87,7 @@ def main() -> None:
             }
         )
     )
+    clear_stored(spark)
     spark.stop()
 
 

@@ -11,6 +11,7 @@ from offerwise.functions.columns import (
     flag_like,
     hash_bucket,
     is_close,
+    keyed_digest,
     month_of,
     nan_to_null,
     number,
@@ -27,6 +28,7 @@ __all__ = [
     "flag_like",
     "hash_bucket",
     "is_close",
+    "keyed_digest",
     "month_of",
     "nan_to_null",
     "number",

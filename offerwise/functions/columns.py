@@ -77,6 +77,11 @@ def hash_bucket(key: Column, seed: int = 42, buckets: int = 10_000) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets))
 
 
+def keyed_digest(key: Column, seed: int | str = 42) -> Column:
+    """A digest of a key and a seed, the same in every SQL engine: hex digits, evenly spread."""
+    return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))).cast("binary"))
+
+
 def arithmetic_bucket(key: Column, seed: int = 42, buckets: int = 10_000) -> Column:
     """Like `hash_bucket` for a non-negative integer key, in arithmetic any SQL engine has."""
     return (key.cast("bigint") % 1000003 * 7919 + seed) % buckets

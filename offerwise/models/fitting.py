@@ -133,8 +133,10 @@ def training_vectors(
     train: DataFrame, features: Sequence[str], keep: Sequence[str] = (), label: str = LABEL
 ) -> Iterator[DataFrame]:
     """Vectors, label, one 0/1 column per outcome and `keep`, held while models are fitted."""
-    # Every iteration is a job over all partitions; many near-empty ones only cost.
-    partitions = max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    # Every iteration is a job over all partitions: one for each core at least, but not many
+    # near-empty ones more.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    partitions = max(cores, math.ceil(train.count() / ROWS_PER_PARTITION))
     df = align_features(train, features)
     for stage in input_stages(features):
         df = stage.transform(df)
@@ -169,15 +171,14 @@ def fit_outcome_model(
 
 
 def fit_churn_model(
-    train: DataFrame, features: Sequence[str], family: str = "boosted"
+    train: DataFrame, features: Sequence[str], family: str = "boosted", **params: object
 ) -> PipelineModel:
-    """Fit a binary churn model: churned (label 2) against the rest."""
+    """Fit a binary churn model: churned (label 2) against the rest. `params` change DEFAULTS."""
+    settings = DEFAULTS[family] | params
     if family == "boosted":
-        classifier = GBTClassifier(labelCol="is_2", **DEFAULTS["boosted"])
+        classifier = GBTClassifier(labelCol="is_2", **settings)
     else:
-        classifier = LogisticRegression(
-            labelCol="is_2", family="binomial", **DEFAULTS["logistic"]
-        )
+        classifier = LogisticRegression(labelCol="is_2", family="binomial", **settings)
     with training_vectors(train, features) as vectors:
         fitted = classifier.fit(vectors)
     return assemble_model(features, [fitted])

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +57,8 @@ class OutcomeLogLoss(Evaluator):
 
     def _evaluate(self, dataset: DataFrame) -> float:
         scored = with_probabilities(dataset)
-        return scored.agg(log_loss(F.col("label"))).first()[0]
+        loss = scored.agg(log_loss(F.col("label"))).first()[0]
+        return math.nan if loss is None else loss
 
     def isLargerBetter(self) -> bool:
         return False
@@ -68,6 +72,24 @@ def draw_settings(space: dict[str, Sequence], draws: int, seed: int) -> list[dic
     return random.Random(seed).sample(combinations, min(draws, len(combinations)))
 
 
+def _cross_validated(
+    vectors: DataFrame, estimator: Pipeline, maps: list[dict], folds: int, parallelism: int
+) -> list[float]:
+    """Mean log loss of each setting over the folds. Nothing is refitted on all rows."""
+    evaluator = OutcomeLogLoss()
+
+    def loss(task: tuple[int, dict]) -> float:
+        fold, settings = task
+        fitted = estimator.fit(vectors.where(F.col("fold") != fold), settings)
+        return evaluator.evaluate(fitted.transform(vectors.where(F.col("fold") == fold)))
+
+    tasks = [(fold, settings) for settings in maps for fold in range(folds)]
+    run = [inheritable_thread_target(vectors.sparkSession)(partial(loss, task)) for task in tasks]
+    with ThreadPoolExecutor(parallelism) as pool:
+        losses = list(pool.map(lambda task: task(), run))
+    return [sum(losses[i : i + folds]) / folds for i in range(0, len(losses), folds)]
+
+
 def tune(
     train: DataFrame,
     features: Sequence[str],
@@ -90,15 +112,10 @@ def tune(
     kept = ["fold", *([weight] if weight else [])]
     placed = train.withColumn("fold", fold_of(F.col(key), folds))
     with training_vectors(placed, features, kept) as vectors:
-        search = CrossValidator(
-            estimator=Pipeline(stages=classifiers),
-            estimatorParamMaps=maps,
-            evaluator=OutcomeLogLoss(),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        losses = [float(loss) for loss in search.fit(vectors).avgMetrics]
+        losses = _cross_validated(vectors, Pipeline(stages=classifiers), maps, folds, parallelism)
     results = list(zip(settings, losses, strict=True))
-    best = min(results, key=lambda r: r[1])[0]
+    finite = [r for r in results if math.isfinite(r[1])]
+    if not finite:
+        raise ValueError("no drawn setting gave a finite log loss")
+    best = min(finite, key=lambda r: r[1])[0]
     return Learner(learner.family, learner.rising_with_price, learner.params | best), results

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import month_of
-from offerwise.operators.lookup import lookup_left_join, skewed_lookup_join
+from offerwise.operators.lookup import hot_limit, lookup_left_join, skewed_lookup_join
 from offerwise.session import store
 
 SHAPE = ("catalog_month", "duration", "bandwidth", "gig_product", "has_static_ip")
@@ -26,7 +26,6 @@ def catalog_cells(purchases: DataFrame) -> DataFrame:
 
 def with_catalog_price(
     purchases: DataFrame,
-    rows: int | None = None,
     broadcast_cells: int = BROADCAST_CELLS,
     hot_cell_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
@@ -36,16 +35,22 @@ def with_catalog_price(
     never gathers in one task. They are then joined back: by broadcast if their
     number is known to be small, else by a shuffle in which rows of hot cells
     take their price from the few hot cells and are spread over salts.
-    `rows` is the row count of `purchases`, an upper bound of the cell count.
     """
-    rows = purchases.count() if rows is None else rows
+    return priced_of(purchases, purchases.count(), broadcast_cells, hot_cell_rows)
+
+
+def priced_of(
+    purchases: DataFrame, rows: int, broadcast_cells: int, hot_cell_rows: int
+) -> DataFrame:
+    """`with_catalog_price` where `rows`, the row count of `purchases` and an upper bound of
+    the cell count, has just been taken."""
     cells = catalog_cells(purchases)
     shaped = purchases.withColumn("catalog_month", month_of(F.col("purchasedate")))
     if rows > broadcast_cells:
         cells = store(cells, "catalog-cells")
         if cells.count() > broadcast_cells:
-            # At most (all rows / hot_cell_rows) cells are hot, which bounds the broadcast.
-            hot = cells.where(F.col("cell_rows") > hot_cell_rows).drop("cell_rows")
+            # At most MOST_HOT_KEYS cells are hot, whatever the size of the input.
+            hot = cells.where(F.col("cell_rows") > hot_limit(hot_cell_rows, rows)).drop("cell_rows")
             joined = skewed_lookup_join(
                 shaped, cells.drop("cell_rows"), hot, SHAPE, spread_by=F.col("purchaseid")
             )

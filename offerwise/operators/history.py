@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerwise.operators.lookup import hot_limit
 from offerwise.session import store
 
 ORDER = ("purchasedate", "purchaseid")
@@ -21,7 +22,6 @@ BROADCAST_CHUNKS = 100_000
 
 def with_history(
     purchases: DataFrame,
-    rows: int | None = None,
     hot_user_rows: int = HOT_USER_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -29,17 +29,21 @@ def with_history(
 
     All of it comes from one window over the customer's purchases, so from one
     exchange and one sort. Customers with more than `hot_user_rows` purchases
-    are split into ordered chunks instead, see `_split_history`. `rows` is the
-    row count of `purchases`, an upper bound of every customer's.
+    (and a share of all rows, see `hot_limit`) are split into ordered chunks
+    instead, see `_split_history`.
     """
-    rows = purchases.count() if rows is None else rows
+    return history_of(purchases, purchases.count(), hot_user_rows, chunk_rows)
+
+
+def history_of(purchases: DataFrame, rows: int, hot_user_rows: int, chunk_rows: int) -> DataFrame:
+    """`with_history` where `rows`, the row count of `purchases`, has just been taken."""
     if rows <= hot_user_rows:
         return _finish(_windows(purchases, "username"))
-    hot = _hot_users(purchases, hot_user_rows)
+    hot = _hot_users(purchases, hot_limit(hot_user_rows, rows))
     users, hot_rows = hot.agg(F.count("user_rows"), F.sum("user_rows")).first()
     if not users:
         return _finish(_windows(purchases, "username"))
-    # At most (all rows / hot_user_rows) customers are hot, which bounds the broadcast.
+    # At most MOST_HOT_KEYS customers are hot, whatever the size of the input.
     match = purchases["username"].eqNullSafe(hot["hot_name"])
     usual = purchases.join(F.broadcast(hot), match, "left_anti")
     crowded = purchases.join(F.broadcast(hot), match, "inner").drop("hot_name", "user_rows")

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 # Salts replicate nothing, so there can be as many as it takes.
 SALTS = 1 << 31
 
+# Rows of frequent keys are broadcast; this many keys stay well below 50 MB.
+MOST_HOT_KEYS = 200_000
+
+
+def hot_limit(limit: int, rows: int) -> int:
+    """How many rows make a key hot: over `limit`, and so many that at most MOST_HOT_KEYS
+    keys of `rows` rows can be hot."""
+    return max(limit, rows // MOST_HOT_KEYS)
+
 
 def lookup_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which NULL keys match each other, keeping the left key columns."""

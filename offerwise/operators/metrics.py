@@ -25,9 +25,9 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """One row per class: n / (classes * n_class)."""
+    """One row per class: n / (classes * n_class). Rows without a label do not count."""
     everything = Window.partitionBy()
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn(
         "class_weight",
         F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n")),
@@ -35,9 +35,9 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Attach the balanced weight of its class to every row."""
+    """Attach the balanced weight of its class to every row; without a label it is NULL."""
     weights = class_weights(df, label).select(label, "class_weight")
-    return df.join(F.broadcast(weights), label)  # one row per class
+    return df.join(F.broadcast(weights), label, "left")  # one row per class
 
 
 def confusion(predicted: DataFrame, label: str = LABEL, prediction: str = "prediction"):
@@ -98,10 +98,16 @@ def macro_f1(label: Column, prediction: Column) -> Column:
 
 
 def log_loss(label: Column, probabilities: Sequence[Column] | None = None) -> Column:
-    """Aggregate: mean negative log of the probability given to the true class."""
+    """Aggregate: mean negative log of the probability given to the true class.
+
+    Rows without a label are left out. A NULL or NaN probability of a labelled row makes the
+    result NULL: such a model has no loss.
+    """
     p0, p1, p2 = probabilities or [F.col(p) for p in PROBABILITIES]
     given = F.when(label == 0, p0).when(label == 1, p1).when(label == 2, p2)
-    return F.avg(-F.ln(F.least(F.greatest(given, F.lit(CLIP)), F.lit(1 - CLIP))))
+    broken = label.isin(*OUTCOMES) & (given.isNull() | F.isnan(given))
+    mean = F.avg(-F.ln(F.least(F.greatest(given, F.lit(CLIP)), F.lit(1 - CLIP))))
+    return F.when(F.count_if(broken) == 0, mean)
 
 
 def improvement_percent(base: Column, enhanced: Column, lower_is_better: bool = False) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from offerwise.functions import discount_grid, is_close, number
 from offerwise.schemas import require_columns
 
+# Discounts offered, columns a cohort must have, columns an offer changes.
 GRID = tuple(discount_grid(30, 5))  # 0 % to 30 %
 WIDE_GRID = tuple(discount_grid(40, 5))  # 0 % to 40 %
 

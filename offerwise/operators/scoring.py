@@ -191,6 +191,12 @@ def _normalised(parts: Sequence[Column]) -> list[Column]:
 
 
 def hard_prediction() -> Column:
-    """The likeliest outcome; the first one among equals."""
+    """The likeliest outcome; the first one among equals. NULL if a probability is NULL or NaN."""
     p0, p1, p2 = (F.col(p) for p in PROBABILITIES)
-    return F.when((p0 >= p1) & (p0 >= p2), 0).when(p1 >= p2, 1).otherwise(2)
+    broken = [p.isNull() | F.isnan(p) for p in (p0, p1, p2)]
+    return (
+        F.when(broken[0] | broken[1] | broken[2], F.lit(None).cast("int"))
+        .when((p0 >= p1) & (p0 >= p2), 0)
+        .when(p1 >= p2, 1)
+        .otherwise(2)
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerwise.functions import hash_bucket
+from offerwise.functions import hash_bucket, keyed_digest
 
 BUCKETS = 10_000
 FINE_BUCKETS = 1 << 20
@@ -44,7 +44,8 @@ def stratified_split(
 
     Rows are taken in order of (bucket, key). A histogram of the buckets tells
     in which one a class fills up; only that bucket's rows are ranked, about a
-    millionth of a class, so no class is ever sorted as a whole. `key` must be
+    millionth of a class, so no class is ever sorted as a whole. The last row
+    taken of each class then decides for all rows in one filter. `key` must be
     unique.
     """
     placed = df.withColumn("_bucket", bucket(F.col(key)))
@@ -65,33 +66,32 @@ def stratified_split(
             (F.col("wanted") - F.col("taken")).alias("left_over"),
         )
     )
-    # One row per class.
-    joined = placed.join(
-        F.broadcast(cuts), placed[label].eqNullSafe(cuts["_class"]), "left"
-    )
-    at_cut = F.coalesce(F.col("_bucket") == F.col("cut"), F.lit(False))
-    decided = joined.where(~at_cut).withColumn(
-        "in_train", F.coalesce(F.col("_bucket") < F.col("cut"), F.lit(False))
-    )
+    # One row per class, here and below.
+    same_class = placed[label].eqNullSafe(cuts["_class"])
+    near = placed.join(F.broadcast(cuts), same_class & (F.col("_bucket") == F.col("cut")))
     in_order = Window.partitionBy("_class").orderBy(F.asc_nulls_first(key))
-    ranked = joined.where(at_cut).withColumn(
-        "in_train", F.row_number().over(in_order) <= F.col("left_over")
+    last = (
+        near.withColumn("_rank", F.row_number().over(in_order))
+        .where(F.col("_rank") == F.col("left_over"))
+        .select("_class", F.struct("_bucket", F.col(key)).alias("_last"))
     )
-    return decided.unionByName(ranked).drop("_bucket", "_class", "cut", "left_over")
+    joined = placed.join(F.broadcast(last), placed[label].eqNullSafe(last["_class"]), "left")
+    taken = F.coalesce(F.struct("_bucket", F.col(key)) <= F.col("_last"), F.lit(False))
+    return joined.withColumn("in_train", taken).drop("_bucket", "_class", "_last")
 
 
 def sample_rows(df: DataFrame, n: int, key: str = "purchaseid", seed: int = 42) -> DataFrame:
-    """At most `n` rows, those with the smallest hash of the key; all rows if there are fewer.
+    """At most `n` rows, those with the smallest digest of the key; all rows if there are fewer.
 
-    On a large input a threshold on the hash first leaves a few times `n`
+    On a large input a threshold on the digest first leaves a few times `n`
     rows, so that tasks do not each keep `n`. If it left too few, all rows
     compete.
     """
-    draw = F.xxhash64(F.col(key), F.lit(seed))
+    draw = keyed_digest(F.col(key), seed)
     rows = df.count()
     if rows > max(DIRECT_SAMPLE_ROWS, 8 * n):
-        share = (4 * n + 1000) / rows
-        near = df.where(draw < F.lit(int(-(2**63) + share * 2**64)))
+        share = min(1.0, (4 * n + 1000) / rows)
+        near = df.where(draw < F.lit(f"{int(share * (16**12 - 1)):012x}"))
         if near.count() >= n:
             df = near
     return df.orderBy(draw, F.asc_nulls_first(key)).limit(n)

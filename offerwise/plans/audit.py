@@ -11,7 +11,7 @@ from offerwise.models import Learner, fit_outcome_model, scorer_of
 from offerwise.operators.scoring import Scorer
 from offerwise.operators.splits import sample_rows, split
 from offerwise.plans.training import PRODUCTION, labelled
-from offerwise.schemas import feature_columns
+from offerwise.schemas import PROBABILITIES, feature_columns
 
 
 def quantile_grid(df: DataFrame, feature: str, points: int = 20, accuracy: int = 10_000):
@@ -44,20 +44,21 @@ def partial_dependence(
     at_points = rows.select("*", F.explode(points).alias("_grid")).withColumn(
         feature, F.col("_grid.value")
     )
-    curves = [
-        scorer(at_points)
-        .groupBy(F.lit(name).alias("model"), F.col("_grid.point").alias("point"))
-        .agg(
-            F.first("_grid.value").alias("value"),
-            F.avg("p_churn").alias("mean_churn"),
-            F.count(F.lit(1)).alias("rows"),
+    # All models score the same exploded rows, side by side.
+    kept = [c for c in at_points.columns if c not in PROBABILITIES]
+    scored, means = at_points.select(*kept), []
+    for i, (name, scorer) in enumerate(scorers.items()):
+        scored = scorer(scored).withColumnRenamed("p_churn", f"_churn_{i}").drop(*PROBABILITIES)
+        means.append(
+            F.struct(
+                F.lit(name).alias("model"),
+                F.first("_grid.value").alias("value"),
+                F.avg(f"_churn_{i}").alias("mean_churn"),
+                F.count(F.lit(1)).alias("rows"),
+            )
         )
-        for name, scorer in scorers.items()
-    ]
-    stacked = curves[0]
-    for curve in curves[1:]:
-        stacked = stacked.unionByName(curve)
-    return stacked
+    by_point = scored.groupBy(F.col("_grid.point").alias("point")).agg(F.array(*means).alias("m"))
+    return by_point.select("point", F.inline("m")).select("model", "point", "value", "mean_churn", "rows")
 
 
 def falling_steps(curve: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def constraint_audit(
     mart: DataFrame,
     feature: str = "arpu",
     points: int = 20,
-    sample: int | None = 1000,
+    sample: int | None = None,
     key: str = "purchaseid",
 ) -> DataFrame:
     """Churn against price for a free and a price-constrained model, on unseen rows."""

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerwise.functions import to_number
+from offerwise.functions import keyed_digest, to_number
 from offerwise.models import Learner, fit_outcome_model, scorer_of
+from offerwise.operators.lookup import hot_limit, lookup_left_join, skewed_lookup_join
 from offerwise.operators.scoring import Scorer
 from offerwise.operators.splits import split
 from offerwise.plans.strategy import strategy_comparison
 from offerwise.schemas import LABEL
+from offerwise.session import store
 
 # Markup of the list price, spread of the revenue trend, columns no model reads.
 LIST_MARKUP = 1.15
@@ -20,7 +21,8 @@ TREND_SPREAD = 5.0
 NOT_FEATURES = ("customerID", "Churn", "TotalCharges", LABEL)
 EXTERNAL_PRICE_FEATURES = ("catalog_price", "arpu")
 
-MOST_CATEGORIES = 100_000
+BROADCAST_VALUES = 100_000
+HOT_VALUE_ROWS = 1_000_000
 
 
 def external_outcome() -> Column:
@@ -30,11 +32,11 @@ def external_outcome() -> Column:
 
 
 def standard_normal(key: Column, seed: int = 42) -> Column:
-    """A standard normal draw that depends on the key alone (Box-Muller on two hashes)."""
+    """A standard normal draw that depends on the key alone (Box-Muller on two digests)."""
 
     def uniform(salt: int) -> Column:
-        steps = F.pmod(F.xxhash64(key, F.lit(seed), F.lit(salt)), F.lit(2**52))
-        return (steps + F.lit(0.5)) / F.lit(float(2**52))
+        steps = F.conv(F.substring(keyed_digest(key, f"{seed}|{salt}"), 1, 12), 16, 10)
+        return (steps.cast("double") + F.lit(0.5)) / F.lit(float(16**12))
 
     return F.sqrt(-2 * F.ln(uniform(1))) * F.cos(2 * F.pi() * uniform(2))
 
@@ -68,23 +70,48 @@ def text_features(df: DataFrame) -> list[str]:
 def encode_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Replace text columns by the rank of each value among the sorted values, from 0.
 
-    The sorted values of a column are held on the driver, so a column of free
-    text or ids is refused; drop it first.
+    Any number of distinct values will do: see `ranked_values`.
     """
-    columns = text_features(df) if columns is None else columns
-    if not columns:
-        return df
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    large = [c for c, n in sizes.items() if n > MOST_CATEGORIES]
-    if large:
-        raise ValueError(f"too many distinct values to encode: {', '.join(large)}")
-    codes = [f"_code_{c}" for c in columns]
-    indexer = StringIndexer(
-        inputCols=columns, outputCols=codes, stringOrderType="alphabetAsc"
-    ).fit(df)
-    encoded = indexer.transform(df)
-    replaced = {c: F.col(code).cast("int") for c, code in zip(columns, codes, strict=True)}
-    return encoded.withColumns(replaced).drop(*codes)
+    for column in text_features(df) if columns is None else columns:
+        df = _encoded(df, column)
+    return df
+
+
+def ranked_values(df: DataFrame, column: str) -> DataFrame:
+    """(value, rank from 0, rows) of the distinct values of a column, NULL left out.
+
+    Values are counted map-side and range-partitioned; each partition is ranked on its own,
+    after the values of those before it. The partition numbers are stored, so that they
+    cannot change between the two reads.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    placed = store(
+        values.agg(F.count(F.lit(1)).alias("rows"))
+        .repartitionByRange("value")
+        .withColumn("part", F.spark_partition_id()),
+        "text-values",
+    )
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per partition
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy("value")
+    ranked = placed.join(F.broadcast(before), "part")
+    rank = (F.col("before") + F.row_number().over(inside) - 1).cast("int")
+    return ranked.select("value", rank.alias("rank"), "rows")
+
+
+def _encoded(df: DataFrame, column: str) -> DataFrame:
+    codes = store(ranked_values(df, column).withColumnRenamed("value", column), "text-codes")
+    rows, values = codes.agg(F.sum("rows"), F.count(F.lit(1))).first()
+    codes_only = codes.drop("rows")
+    if values <= BROADCAST_VALUES:
+        joined = lookup_left_join(df, F.broadcast(codes_only), [column])
+    else:
+        # At most MOST_HOT_KEYS values are hot, whatever the size of the input.
+        hot = codes.where(F.col("rows") > hot_limit(HOT_VALUE_ROWS, rows)).drop("rows")
+        spread = F.struct(*[c for c in df.columns if c != column])
+        joined = skewed_lookup_join(df, codes_only, hot, [column], spread_by=spread)
+    return joined.withColumn(column, F.col("rank")).select(*df.columns)
 
 
 def adapt_external(df: DataFrame, seed: int = 42) -> DataFrame:

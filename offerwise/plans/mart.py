@@ -8,14 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import flag_like, safe_ratio
-from offerwise.operators.catalog import with_catalog_price
-from offerwise.operators.history import with_history
+from offerwise.operators.catalog import BROADCAST_CELLS, HOT_CELL_ROWS, priced_of
+from offerwise.operators.history import CHUNK_ROWS, HOT_USER_ROWS, history_of
 from offerwise.operators.labels import GRACE_DAYS, customer_action
 from offerwise.schemas import LABEL, mart_schema, purchases_schema, require_columns
 
 # Fixed value: product names that include a static address.
 STATIC_IP_PATTERN = "%Static IP%"
 
+SKEW_LIMITS = {
+    "hot_user_rows": HOT_USER_ROWS,
+    "chunk_rows": CHUNK_ROWS,
+    "broadcast_cells": BROADCAST_CELLS,
+    "hot_cell_rows": HOT_CELL_ROWS,
+}
+
 
 def stage_purchases(purchases: DataFrame, static_ip_pattern: str = STATIC_IP_PATTERN) -> DataFrame:
     """Purchase log with its derived flags, under the names the mart uses."""
@@ -63,23 +70,22 @@ def build_mart(
     as_of: dt.date | str,
     grace_days: int = GRACE_DAYS,
     static_ip_pattern: str = STATIC_IP_PATTERN,
-    rows: int | None = None,
     **skew_limits: int,
 ) -> DataFrame:
     """Purchase log -> mart, one row per purchase.
 
     The plan is one partially aggregated exchange for the catalog cells, a
-    broadcast join, and one exchange on the customer for all windows.
-    `rows` is the row count of `purchases` if known; `skew_limits` passes
-    `hot_user_rows`, `chunk_rows`, `broadcast_cells` and `hot_cell_rows` on to
-    the operators that use them.
+    broadcast join, and one exchange on the customer for all windows. Pass a
+    materialised log: rows, cells and large customers are counted on it first.
+    `skew_limits` may set the values of SKEW_LIMITS.
     """
-    rows = purchases.count() if rows is None else rows
+    limits = SKEW_LIMITS | skew_limits
+    if unknown := skew_limits.keys() - SKEW_LIMITS.keys():
+        raise TypeError(f"unknown limit(s): {', '.join(sorted(unknown))}")
+    rows = purchases.count()
     staged = stage_purchases(purchases, static_ip_pattern)
-    cell_limits = {k: v for k, v in skew_limits.items() if "cell" in k}
-    history_limits = {k: v for k, v in skew_limits.items() if "cell" not in k}
-    priced = with_catalog_price(staged, rows, **cell_limits)
-    enriched = with_history(priced, rows, **history_limits)
+    priced = priced_of(staged, rows, limits["broadcast_cells"], limits["hot_cell_rows"])
+    enriched = history_of(priced, rows, limits["hot_user_rows"], limits["chunk_rows"])
     enriched = with_trends(with_hidden_discount(with_arpu(enriched))).withColumn(
         LABEL, customer_action(as_of, grace_days)
     )

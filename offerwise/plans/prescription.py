@@ -61,10 +61,10 @@ def ev_curve(
     key: str = "purchaseid",
     grid: Sequence[float] = GRID,
     alpha: float = DOWNGRADE_RATIO,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Expected value against discount for the customers of a (small) cohort, in order."""
-    return (
-        scored_scenarios(cohort, scorer, grid, alpha)
-        .select(key, "scenario_id", "simulated_discount", "offered_price", "expected_value")
-        .orderBy(key, "scenario_id")
+    """Expected value against discount for each customer, sorted for a plot only if asked."""
+    curve = scored_scenarios(cohort, scorer, grid, alpha).select(
+        key, "scenario_id", "simulated_discount", "offered_price", "expected_value"
     )
+    return curve.orderBy(key, "scenario_id") if ordered else curve

@@ -90,6 +90,10 @@ def strategy_comparison(
     )
 
 
+def is_on_grid(discount: float, flat: float) -> bool:
+    return abs(discount - flat) <= 1e-8 + 1e-5 * abs(flat)
+
+
 def alpha_sensitivity(
     portfolio: DataFrame,
     scorer: Scorer,
@@ -102,9 +106,12 @@ def alpha_sensitivity(
 
     The probabilities do not depend on alpha, so each scenario is scored once
     and only its value depends on alpha. All alphas come from one pass and one
-    row of sums.
+    row of sums. A flat discount that is not on the grid is priced besides it.
     """
-    flat_at = [i for i, d in enumerate(grid) if abs(d - flat) <= 1e-8 + 1e-5 * abs(flat)]
+    offered = range(len(grid))
+    if not any(is_on_grid(d, flat) for d in grid):
+        grid = (*grid, flat)
+    flat_at = [i for i, d in enumerate(grid) if is_on_grid(d, flat)]
     none_at = [i for i, d in enumerate(grid) if d == 0.0]
     prepared = prepare_cohort(portfolio.drop(*PROBABILITIES))
     scored = score_at_discounts(prepared, scorer, grid, probs)
@@ -126,7 +133,7 @@ def alpha_sensitivity(
         return f"coalesce(sum({best}), 0D)"
 
     rows = ", ".join(
-        f"struct({number(a)}, {total(range(len(grid)), a)}, {total(flat_at, a)},"
+        f"struct({number(a)}, {total(offered, a)}, {total(flat_at, a)},"
         f" {total(none_at, a)})"
         for a in alphas
     )

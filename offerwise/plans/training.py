@@ -40,6 +40,7 @@ from offerwise.schemas import (
     feature_columns,
     require_columns,
 )
+from offerwise.session import store
 
 PRODUCTION = Learner(rising_with_price=PRICE_FEATURES)
 
@@ -83,12 +84,12 @@ def train(
 ) -> TrainingRun:
     """Split, weight, tune, calibrate, evaluate and (with `path`) save an outcome model.
 
-    `search` goes to `tune`: draws, folds, parallelism, space. Pass a
-    materialised mart; it is read several times.
+    `search` goes to `tune`: draws, folds, parallelism, space. The split rows
+    are stored once, since every later step reads them.
     """
     rows = labelled(mart)
     features = feature_columns(rows)
-    placed = stratified_split(rows, LABEL, key)
+    placed = store(stratified_split(rows, LABEL, key), "training-rows")
     fitting = with_class_weights(placed.where("in_train").drop("in_train"))
     unseen = placed.where(~F.col("in_train")).drop("in_train")
     best, results = tune(fitting, features, learner, "class_weight", key, **search)

@@ -530,3 +530,242 @@ ORACLES |= {
     "q_optimal_discount_unrolled": ORACLES["q_optimal_discount"],
     "q_target_list_csv": ORACLES["q_target_list"],
 }
+
+
+# --- what the check queries must give ----------------------------------------------------
+
+
+def _group_shares(a: str, b: str, c: str) -> str:
+    return f"""select has_static_ip, round({a}, 3)::double as p_accept,
+                      round({b}, 3)::double as p_downgrade, round({c}, 3)::double as p_churn
+               from counted"""
+
+
+_COUNTED = {
+    "sizes": """
+        select *, count(*) over () / (3.0::double * count(*) over (partition by
+               customer_action)) as w
+        from cohort""",
+    "counted": """
+        select has_static_ip, count(*)::double as n, sum(w) as wn,
+               count(*) filter (where customer_action = 0) as n0,
+               count(*) filter (where customer_action = 1) as n1,
+               count(*) filter (where customer_action = 2) as n2,
+               sum(w) filter (where customer_action = 0) as w0,
+               sum(w) filter (where customer_action = 1) as w1,
+               sum(w) filter (where customer_action = 2) as w2,
+               1 / (1 + exp(-2 * (2 * n0 / n - 1))) as g0,
+               1 / (1 + exp(-2 * (2 * n1 / n - 1))) as g1,
+               1 / (1 + exp(-2 * (2 * n2 / n - 1))) as g2
+        from sizes group by has_static_ip""",
+}
+_NO_FAULT = """select count(*) as rows, 0::bigint as sums_off_one, 0 as wrong_signs,
+                      0::bigint as falling_steps
+               from cohort"""
+_EXPORT = {
+    "export": """
+        select cast(c_custkey as varchar) as "customerID", c_acctbal as charge,
+               if(c_custkey % 3 = 0, 'Month-to-month', 'One year') as "Contract"
+        from customer
+        where c_custkey % 10 <> 0 and c_custkey % 17 <> 0 and c_acctbal is not null
+          and c_mktsegment is not null""",
+}
+
+
+def _uniform(salt: int) -> str:
+    return (
+        f"""((('0x' || substr(md5("customerID" || '|42|{salt}'), 1, 12))::bigint + 0.5::double)"""
+        " / 281474976710656::double)"
+    )
+
+
+_GAPS = {
+    "holed": """
+        select purchaseid % 2 = 1 as odd,
+               odd and (purchaseid % 5 = 0 or purchaseid % 11 = 0) as broken,
+               if(purchaseid % 7 <> 0, customer_action, null) as label, p_accept, p_downgrade, p_churn
+        from today_scored""",
+    "weighed": """
+        select label, count(*) as k,
+               sum(count(*)) over () / (3.0::double * count(*)) as class_weight
+        from holed where label is not null group by label""",
+}
+
+ORACLES |= {
+    "q_sample": _sql(
+        """select * from cohort order by md5(cast(purchaseid as varchar) || '|42'), purchaseid
+           limit 2000""",
+        "cohort",
+    ),
+    "q_sample_digest": _sql(
+        """select purchaseid, customer_action from cohort
+           order by md5(cast(purchaseid as varchar) || '|42'), purchaseid limit 500""",
+        "cohort",
+    ),
+    "q_logistic_shares": _sql(
+        _group_shares("n0 / n", "n1 / n", "n2 / n"), "cohort", extra=_COUNTED
+    ),
+    "q_weighted_shares": _sql(
+        _group_shares("w0 / wn", "w1 / wn", "w2 / wn"), "cohort", extra=_COUNTED
+    ),
+    "q_boosted_shares": _sql(
+        _group_shares("g0 / (g0 + g1 + g2)", "g1 / (g0 + g1 + g2)", "g2 / (g0 + g1 + g2)"),
+        "cohort",
+        extra=_COUNTED,
+    ),
+    "q_churn_shares": _sql(
+        "select has_static_ip, round(n2 / n, 3)::double as churn_risk from counted",
+        "cohort",
+        extra=_COUNTED,
+    ),
+    "q_constrained_faults": _sql(_NO_FAULT, "cohort"),
+    "q_retrained_faults": _sql(_NO_FAULT, "cohort"),
+    "q_audit_faults": "select 'constrained' as model, 0::bigint as falling_steps",
+    "q_saved_model_faults": _sql("select count(*) as rows, 0::bigint as differing from cohort", "cohort"),
+    "q_search_faults": _sql(
+        """select 15 as draws, 15 as distinct_draws, 0 as outside_space,
+                  0 as better_than_chosen, count(*) as rows
+           from cohort""",
+        "cohort",
+    ),
+    "q_train_supports": _sql(
+        """select ['accept', 'downgrade', 'churn'][customer_action + 1] as "class",
+                  cast(count(*) - round(0.8 * count(*)) as bigint) as support
+           from cohort group by customer_action""",
+        "cohort",
+    ),
+    "q_ablation_faults": _sql(
+        "select count(*) as rows, 2 as models, 0 as gains_off from cohort", "cohort"
+    ),
+    "q_external_noise": _sql(
+        f"""select "customerID",
+                   round(sqrt(-2 * ln({_uniform(1)})) * cos(2 * pi() * {_uniform(2)}) * 5, 6)
+                       as arpu_trend
+            from export""",
+        extra=_EXPORT,
+    ),
+    "q_external_policy_fixed": _sql(
+        """select count(distinct "customerID") as users,
+                  count(*) filter (where k = 0 and c0 > 0.5) as threshold_discounts,
+                  count(*) filter (where top = 1 and d > 0) as value_discounts
+           from ranked""",
+        extra=_EXPORT
+        | {
+            "offers": """
+                select *, cast(5 * k as double) / 100 as d, charge * 1.15 as price,
+                       price * (1 - d) as offer, offer as a, offer - charge as t,
+                       0.0002::double * charge - 0.3 as y1, 0.0005::double * charge as y2,
+                       exp(y2) / (1 + exp(y1) + exp(y2)) as c0,
+                       0.0002::double * a - 0.3 as z1, 0.0005::double * a + 0.0001::double * t as z2,
+                       1 + exp(z1) + exp(z2) as s,
+                       offer / s + exp(z1) / s * (offer * 0.7::double) as ev
+                from export, range(7) as steps(k)""",
+            "ranked": """
+                select *, row_number() over (partition by "customerID"
+                                             order by if(ev > -1, ev, null) desc nulls last, k) as top
+                from offers""",
+        },
+    ),
+    "q_external_encode_wide": """
+        select c_custkey, cast(dense_rank() over (order by c_name) - 1 as integer) as c_name,
+               cast(dense_rank() over (order by c_mktsegment) - 1 as integer) as c_mktsegment
+        from customer""",
+    "q_staging_missing_parts": """
+        with lines as (
+            select l_orderkey, l_quantity, l_returnflag,
+                   if(l_orderkey % 3 = 2, l_partkey, null) as partkey
+            from lineitem),
+        per_order as (
+            select l_orderkey, min(p_name) as productname, max(l_quantity) as q, count(*) as n,
+                   count(*) filter (where l_returnflag = 'R') as r
+            from lines left join part on partkey = p_partkey group by l_orderkey)
+        select o_orderkey as purchaseid, productname,
+               cast(if(coalesce(q, 0) >= 40, 100, 50) as integer) as bandwidth,
+               cast(if(coalesce(n, 0) >= 5, 1, 0) as integer) as gig_product,
+               cast(coalesce(r, 0) as bigint) as flowcount
+        from orders left join per_order on o_orderkey = l_orderkey""",
+    "q_cohort_csv_minimum": _sql(
+        """select count(*) as rows, count(*) as row_ids, round(sum(arpu), 2) as arpu,
+                  round(sum(arpu_trend), 2) as arpu_trend,
+                  round(sum(catalog_price), 2) as catalog_price,
+                  cast(sum(duration) as bigint) as duration, count(distinct username) as usernames
+           from cohort""",
+        "cohort",
+    ),
+    "q_mart_csv_optional_columns": _sql(
+        """select purchaseid, 'p' || (username % 5) as province, 'a' as salesagent,
+                  catalog_price as actual_paid_price, 'n' as note, catalog_price,
+                  customer_action, gap_days
+           from mart""",
+        "mart",
+    ),
+    "q_scores_missing_feature": _sql(
+        """select purchaseid, round(1 / s, 6) as p_accept, round(exp(z1) / s, 6) as p_downgrade,
+                  round(exp(y2) / s, 6) as p_churn
+           from (select purchaseid, z1, 0.0005::double * arpu as y2, 1 + exp(z1) + exp(y2) as s
+                 from today)""",
+        "today",
+    ),
+    "q_alpha_sensitivity_off_grid": _sql(
+        """select alpha, round(sum(top), 2) as dynamic_value, round(sum(flat), 2) as flat_value,
+                  round(sum(plain), 2) as undiscounted_value
+           from (select alpha, purchaseid, max(v) filter (where not off) as top,
+                        sum(v) filter (where off) as flat,
+                        sum(v) filter (where d = 0) as plain
+                 from (select *, a * offer + b * offer * alpha as v from vals, alphas)
+                 group by alpha, purchaseid)
+           group by alpha""",
+        "cohort",
+        extra={
+            "alphas": "select cast(k as double) / 10 as alpha from range(4, 10) as r(k)",
+            "offered": """
+                select purchaseid, d, d = 0.12::double as off, catalog_price * (1 - d) as offer,
+                       if(duration > 0, offer / duration, 0) as u, u - (arpu - arpu_trend) as t,
+                       0.0002::double * u - 0.3::double as z1,
+                       0.0005::double * u + 0.0001::double * t as z2
+                from cohort, (select unnest([0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.12])::double as d)""",
+            "vals": """
+                select purchaseid, d, off, offer, 1 / (1 + exp(z1) + exp(z2)) as a,
+                       1 / (1 + exp(0 - z1) + exp(z2 - z1)) as b
+                from offered""",
+        },
+    ),
+    "q_metrics_with_gaps": _sql(
+        """select odd, count(*) as rows,
+                  if(odd, null, round(avg(-ln(least(greatest(case label when 0 then p_accept
+                         when 1 then p_downgrade when 2 then p_churn end, 1e-15), 1 - 1e-15))), 6))
+                      as log_loss,
+                  count(*) filter (where not broken) as predicted,
+                  count(class_weight) as weighted, round(sum(class_weight), 4) as weight
+           from holed left join weighed using (label) group by odd""",
+        "today_scored",
+        extra=_GAPS,
+    ),
+}
+ORACLES |= {
+    "q_forest_shares": _sql(
+        _group_shares("n0 / n", "n1 / n", "n2 / n"),
+        "cohort",
+        extra={
+            "sizes": _COUNTED["sizes"],
+            "likeliest": """
+                select count(distinct top) = 1 as alike from (
+                    select has_static_ip, arg_max(customer_action, (k, -customer_action)) as top
+                    from (select has_static_ip, customer_action, count(*) as k from cohort
+                          group by all)
+                    group by has_static_ip)""",
+            "leaves": """
+                select has_static_ip, if(alike, 0, has_static_ip) as leaf, customer_action
+                from cohort, likeliest""",
+            "counted": """
+                select has_static_ip, n, n0, n1, n2
+                from (select leaf, count(*)::double as n,
+                             count(*) filter (where customer_action = 0) as n0,
+                             count(*) filter (where customer_action = 1) as n1,
+                             count(*) filter (where customer_action = 2) as n2
+                      from leaves group by leaf)
+                join (select distinct has_static_ip, leaf from leaves) using (leaf)""",
+        },
+    ),
+    "q_read_purchases": ORACLES["q_staging"],
+}

@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerwise.functions import arithmetic_bucket, even_grid
+from offerwise.functions import arithmetic_bucket, even_grid, is_close
 from offerwise.operators import metrics, splits
 from offerwise.operators.catalog import HOT_CELL_ROWS, with_catalog_price
 from offerwise.operators.history import CHUNK_ROWS, HOT_USER_ROWS, with_history
 from offerwise.operators.labels import customer_action
-from offerwise.operators.scenarios import expand_scenarios, scenarios_at
+from offerwise.operators.scenarios import expand_scenarios
 from offerwise.operators.scoring import hard_prediction
 from offerwise.operators.value import best_offer, optimal_discount, with_expected_value
 from offerwise.plans import audit, external, mart as mart_plan, prescription, strategy, training
 from offerwise.registry import inputs
+from offerwise.registry.checks import CHECKS
 from offerwise.registry.inputs import SCORER
 from offerwise.registry.model_queries import MODEL_QUERIES
 from offerwise.schemas import FEATURES, LABEL, PROBABILITIES, cohort_schema
@@ -272,19 +273,17 @@ def q_expected_value(spark, sf_dir):
 @query
 def q_flat_discount(spark, sf_dir):
     """Portfolio value of single scenarios: 0 % by exact and 15 % by approximate match."""
-    valued = _scored(spark, sf_dir)
-    totals = [
-        frame.agg(
-            F.lit(name).alias("scenario"),
+    scenario = F.when(F.col("scenario_id") == 0, "none").otherwise("flat")
+    chosen = is_close(F.col("simulated_discount"), 0.15) | (F.col("scenario_id") == 0)
+    return (
+        _scored(spark, sf_dir)
+        .where(chosen)
+        .groupBy(scenario.alias("scenario"))
+        .agg(
             F.count(F.lit(1)).alias("customers"),
             F.round(F.sum("expected_value"), 2).alias("total_value"),
         )
-        for name, frame in (
-            ("none", valued.where(F.col("scenario_id") == 0)),
-            ("flat", scenarios_at(valued, 0.15)),
-        )
-    ]
-    return totals[0].unionByName(totals[1])
+    )
 
 
 def _offer_columns(offers: DataFrame) -> DataFrame:
@@ -495,3 +494,4 @@ def q_external_csv(spark, sf_dir):
 
 
 QUERIES.update(MODEL_QUERIES)
+QUERIES.update(CHECKS)

@@ -44,6 +44,14 @@ MISSABLE = ("gap_days", "supportcallcount_trend", "rolling_3_disruptioncount")
 
 MONEY = T.DecimalType(18, 2)
 
+# What a cohort file must have, and what a feature file may have besides.
+COHORT_COLUMNS = ("username", "catalog_price", "arpu", "arpu_trend", "duration")
+OPTIONAL_COLUMNS = (
+    T.StructField("province", T.StringType()),
+    T.StructField("salesagent", T.StringType()),
+    T.StructField("actual_paid_price", MONEY),
+)
+
 
 def purchases_schema(key: T.DataType = T.StringType()) -> T.StructType:
     """Purchase log: one row per purchase, `key` being the type of both ids."""

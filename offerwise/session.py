@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_paths: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 
@@ -26,7 +29,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the stored tables of this application, and say how many there were.
+
+    Call it when the results of all jobs are written: frames that read the tables fail
+    afterwards.
+    """
+    paths = _paths.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in map(hadoop, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.operators.lookup import skewed_lookup_join
+from offerwise.operators.lookup import hot_limit, skewed_lookup_join
 from offerwise.schemas import MONEY, purchases_schema, require_columns
 from offerwise.session import store
 
@@ -30,13 +30,19 @@ HOT_PART_LINES = 1_000_000
 
 
 def _with_part_names(lineitem: DataFrame, part: DataFrame, hot_part_lines: int) -> DataFrame:
-    names = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    if lineitem.count() > hot_part_lines:
+    names = part.where(F.col("p_partkey").isNotNull()).select(
+        F.col("p_partkey").alias("l_partkey"), "p_name"
+    )
+    rows = lineitem.count()
+    if rows > hot_part_lines:
         frequent = lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-        frequent = store(frequent.where(F.col("n") > hot_part_lines), "hot-parts")
+        limit = hot_limit(hot_part_lines, rows)
+        frequent = store(frequent.where(F.col("n") > limit).drop("n"), "hot-parts")
         if not frequent.isEmpty():
-            # At most (all lines / hot_part_lines) parts, which bounds the broadcasts.
-            hot = names.join(F.broadcast(frequent), "l_partkey", "left_semi")
+            # At most MOST_HOT_KEYS parts. Those without a name, NULL among them, are carried
+            # too: their lines would otherwise gather in one task.
+            found = names.join(F.broadcast(frequent), "l_partkey", "left_semi")
+            hot = frequent.join(found, "l_partkey", "left")
             line = F.struct("l_orderkey", "l_linenumber")
             return skewed_lookup_join(lineitem, names, hot, ["l_partkey"], spread_by=line)
     return lineitem.join(names, "l_partkey", "left")

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerwise.functions import month_of
-from offerwise.schemas import cohort_schema, mart_schema, require_columns
+from offerwise.schemas import (
+    COHORT_COLUMNS,
+    OPTIONAL_COLUMNS,
+    cohort_schema,
+    mart_schema,
+    require_columns,
+)
+from offerwise.session import store
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
@@ -37,15 +46,33 @@ def write_features_csv(mart: DataFrame, path: str) -> None:
 def read_features_csv(
     spark: SparkSession, path: str, key: T.DataType = T.StringType()
 ) -> DataFrame:
-    """A mart exported as CSV, with the mart's types instead of inferred ones."""
-    return _read_csv(spark, path, mart_schema(key))
+    """A mart exported as CSV, with the mart's types instead of inferred ones.
+
+    Columns may stand in any order. Optional ones get their type, others stay text.
+    """
+    df = _read_csv(spark, path, [*mart_schema(key), *OPTIONAL_COLUMNS])
+    return require_columns(df, mart_schema().names, path)
 
 
 def read_cohort_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """At-risk customers to price. Fails on rows that do not fit the schema."""
-    return _read_csv(spark, path, schema or cohort_schema())
+    """At-risk customers to price. Fails on values that do not fit their column's type.
+
+    Five columns are required (COHORT_COLUMNS); any further mart feature is taken along,
+    in any order. Features the file lacks count as 0.0 when a model is applied.
+    """
+    known = [*(schema or []), *cohort_schema(), *mart_schema(), *OPTIONAL_COLUMNS]
+    return require_columns(_read_csv(spark, path, known), COHORT_COLUMNS, path)
+
+
+def with_row_id(df: DataFrame, name: str = "purchaseid") -> DataFrame:
+    """Number the rows of a table that has no key, for jobs that need one.
+
+    The numbers are unique, not consecutive. They are stored with the rows, so that they
+    stay the same however often the result is read.
+    """
+    return store(df.withColumn(name, F.monotonically_increasing_id()), "numbered-rows")
 
 
 def write_target_list(targets: DataFrame, path: str) -> None:
@@ -61,7 +88,13 @@ def read_churn_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     )
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, known: Iterable[T.StructField]) -> DataFrame:
+    """Columns in the order of the header; the first of `known` fields with a name types it."""
+    header = spark.read.option("header", True).csv(path).columns
+    types: dict[str, T.DataType] = {}
+    for field in known:
+        types.setdefault(field.name.lower(), field.dataType)
+    schema = T.StructType([T.StructField(c, types.get(c.lower(), T.StringType())) for c in header])
     return (
         spark.read.schema(schema)
         .option("header", True)
