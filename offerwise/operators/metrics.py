@@ -106,7 +106,8 @@ def log_loss(label: Column, probabilities: Sequence[Column] | None = None) -> Co
     p0, p1, p2 = probabilities or [F.col(p) for p in PROBABILITIES]
     given = F.when(label == 0, p0).when(label == 1, p1).when(label == 2, p2)
     broken = label.isin(*OUTCOMES) & (given.isNull() | F.isnan(given))
-    mean = F.avg(-F.ln(F.least(F.greatest(given, F.lit(CLIP)), F.lit(1 - CLIP))))
+    loss = -F.ln(F.least(F.greatest(given, F.lit(CLIP)), F.lit(1 - CLIP)))
+    mean = F.avg(F.when(given.isNotNull(), loss))  # the bounds would stand in for a NULL
     return F.when(F.count_if(broken) == 0, mean)
 
 

@@ -733,7 +733,8 @@ ORACLES |= {
     "q_metrics_with_gaps": _sql(
         """select odd, count(*) as rows,
                   if(odd, null, round(avg(-ln(least(greatest(case label when 0 then p_accept
-                         when 1 then p_downgrade when 2 then p_churn end, 1e-15), 1 - 1e-15))), 6))
+                         when 1 then p_downgrade when 2 then p_churn end, 1e-15), 1 - 1e-15)))
+                         filter (where label is not null), 6))
                       as log_loss,
                   count(*) filter (where not broken) as predicted,
                   count(class_weight) as weighted, round(sum(class_weight), 4) as weight
