@@ -255,12 +255,16 @@ def nearest(
     def over(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
+    def within(count: str) -> Column:
+        # Of the type of `over`: groups of unlike key types would not meet.
+        return F.pmod("h", count).cast("int")
+
     held = placed.join(spread, "part").select(
         "part", "h", "g", "vec", "low",
-        F.pmod("h", "v_blocks").alias("v"), over("q_blocks").alias("q"),
+        within("v_blocks").alias("v"), over("q_blocks").alias("q"),
     )
     questions = routed.join(spread, "part").select(
-        "part", "h", "g", "vec", F.pmod("h", "q_blocks").alias("q"), over("v_blocks").alias("v")
+        "part", "h", "g", "vec", within("q_blocks").alias("q"), over("v_blocks").alias("v")
     )
     key_type = rows.schema["id"].dataType.simpleString()
 
