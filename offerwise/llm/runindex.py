@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from offerwise.llm import words
 from offerwise.llm.columns import with_results
-from offerwise.llm.tables import attach, release, store
+from offerwise.llm.tables import attach, release, store, store_dense
 
 SPAN = 50
 K = 24
@@ -454,9 +454,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     chosen = able.select("text", "doc", "t").join(
         wanted, (F.col("t") == F.col("_t")) & (F.col("doc") == F.col("low"))
     )
-    places = store(_contexts(chosen, frequent, bits), "repeat-contexts")
+    places = store_dense(_contexts(chosen, frequent, bits), "repeat-contexts")
     release(spark)
-    distinct = store(
+    distinct = store_dense(
         places.groupBy("h", "c").agg(
             F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("body").alias("body")
         ),
