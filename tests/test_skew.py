@@ -99,7 +99,7 @@ def test_sample_takes_the_smallest_hashes(spark, monkeypatch, direct):
     df = spark.range(20_000).withColumnRenamed("id", "purchaseid")
     expected = [
         r.purchaseid
-        for r in df.selectExpr("purchaseid", "xxhash64(purchaseid, 42) h").orderBy("h").take(50)
+        for r in df.selectExpr("purchaseid", "md5(concat(purchaseid, '|42')) h").orderBy("h").take(50)
     ]
     assert [r.purchaseid for r in splits.sample_rows(df, 50).collect()] == expected
 
