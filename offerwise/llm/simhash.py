@@ -4,11 +4,16 @@ Two fingerprints that differ in at most 2 bits have a value within 1 bit of both
 distinct fingerprint emits itself and its 64 one-bit variants, the shuffle brings equal
 variants together, and neighbours in a variant's group (65 fingerprints at most) are
 verified and linked. Groups are chained, not paired; links of one group share a component.
+
+Two bits reach only texts that differ in very few shingles. Where a `similarity` is asked for,
+those components and the MinHash bands of the same shingles (see minhash) are groups of
+candidates, and links are the pairs that are at least so similar.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from offerwise.llm import words
+from offerwise.llm import minhash, words
 from offerwise.llm.columns import with_results
 from offerwise.llm.components import components
 from offerwise.llm.tables import attach, one_each, store
@@ -27,8 +32,8 @@ RADIUS = 2
 SEED = 42
 
 
-def fingerprint_block(data: np.ndarray, bounds: np.ndarray, width: int) -> np.ndarray:
-    """The SimHash of each text of a block, over shingles of `width` words."""
+def shingles(data: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The hashes of the shingles of `width` words, text by text of a block."""
     data = words.lowered(data)
     starts, ends, before = words.spans(data, bounds)
     lengths = ends - starts
@@ -38,22 +43,32 @@ def fingerprint_block(data: np.ndarray, bounds: np.ndarray, width: int) -> np.nd
     spaced[words.gather(places[:-1], lengths)] = data[words.gather(starts, lengths)]
     view = memoryview(spaced)
     digest = xxhash.xxh64_intdigest
-    out = np.zeros(len(bounds) - 1, np.uint64)
-    weights = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
-    for i, (a, b) in enumerate(zip(before[:-1].tolist(), before[1:].tolist(), strict=True)):
+    for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
         if a == b:
+            yield np.zeros(0, np.uint64)
             continue
         last = max(b - width + 1, a + 1)
         begin = places[a:last].tolist()
         stop = (places[min(a + width, b) : b + 1] - 1).tolist()
         found = [digest(view[x:y], SEED) for x, y in zip(begin, stop, strict=True)]
-        values = np.array(found, np.uint64)
-        votes = np.zeros(BITS, np.int64)
-        for part in np.array_split(values, 1 + len(values) // 50_000):
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            votes += bits.sum(axis=0, dtype=np.int64)
-        out[i] = weights[2 * votes > len(values)].sum(dtype=np.uint64)
-    return out
+        yield np.array(found, np.uint64)
+
+
+_WEIGHTS = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
+
+
+def fingerprint(values: np.ndarray) -> np.uint64:
+    """The SimHash of a text's shingles."""
+    votes = np.zeros(BITS, np.int64)
+    for part in np.array_split(values, 1 + len(values) // 50_000):
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes += bits.sum(axis=0, dtype=np.int64)
+    return _WEIGHTS[2 * votes > len(values)].sum(dtype=np.uint64)
+
+
+def fingerprint_block(data: np.ndarray, bounds: np.ndarray, width: int) -> np.ndarray:
+    """The SimHash of each text of a block, over shingles of `width` words."""
+    return np.array([fingerprint(v) for v in shingles(data, bounds, width)], np.uint64)
 
 
 def fingerprints(docs: DataFrame, width: int, text: str = "text", keep=None) -> DataFrame:
@@ -67,15 +82,47 @@ def fingerprints(docs: DataFrame, width: int, text: str = "text", keep=None) ->
     return with_results(docs, [text], results, pa.schema([("simhash", pa.int64())]), keep)
 
 
-def links(nodes: DataFrame, node: str = "simhash") -> DataFrame:
-    """Pairs (a, b) that connect all distinct values of `node` with 2 or fewer differing bits."""
+SKETCHED = pa.schema([("simhash", pa.int64()), ("sketch", pa.binary()), ("bands", pa.list_(pa.int64()))])
+
+
+def sketched(docs: DataFrame, width: int, text: str, keep) -> DataFrame:
+    """`docs` with `simhash`, and the sketch and bands (see minhash) of the same shingles."""
+
+    def results(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for _, data, bounds in words.blocks(batch.column(0)):
+            made = [
+                (fingerprint(v), minhash.sketch(v), minhash.bands(v))
+                for v in shingles(data, bounds, width)
+            ]
+            columns = [
+                pa.array(np.array([m[0] for m in made], np.uint64).view(np.int64)),
+                pa.array([m[1] for m in made], pa.binary()),
+                pa.array([m[2] for m in made], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=SKETCHED)
+
+    return with_results(docs, [text], results, SKETCHED, keep)
+
+
+def links(nodes: DataFrame, node: str = "simhash", radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) that connect all distinct values of `node` with `radius` or fewer differing bits.
+
+    Each emits its ball of half the radius: 65 variants at 2 bits, 2081 at 4.
+    """
+    if radius % 2:
+        raise ValueError("radius is twice that of the balls, so it is even")
     f = F.col(node)
-    variants = F.array(f, *[f.bitwiseXOR(F.lit(_signed(1 << i))) for i in range(BITS)])
+    flips = [
+        sum(1 << i for i in bits)
+        for n in range(radius // 2 + 1)
+        for bits in combinations(range(BITS), n)
+    ]
+    variants = F.array(*[f.bitwiseXOR(F.lit(_signed(flip))) for flip in flips])
     balls = nodes.select(f.alias("b"), F.explode(variants).alias("variant"))
     chained = balls.withColumn("a", F.lag("b").over(W.partitionBy("variant").orderBy("b")))
     return (
         chained.where(F.col("a").isNotNull())
-        .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
+        .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
         .select("a", "b")
         .distinct()
     )
@@ -86,33 +133,60 @@ def _signed(value: int) -> int:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", keep=()
+    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", keep=(),
+    radius: int = RADIUS, similarity: float | None = None,
 ) -> DataFrame:
     """`key`, the columns `keep`, simhash and component_id (the smallest key linked, over any number of links).
 
+    Texts are linked by fingerprints within `radius` bits or, with `similarity`, by shingle
+    sets of at least that Jaccard similarity.
     One row per row of `docs`. NULL and empty texts have fingerprint 0 and are linked like
     any other; NULL keys are ignored when the smallest is taken, so a component of NULL keys
     only has component_id NULL. Repeated rows stay and share a component.
     """
-    prints = store(fingerprints(docs, width, text, [key, *keep]), "simhash")
-    nodes = store(
-        prints.groupBy("simhash").agg(F.min(key).alias("_low"), F.count(F.lit(1)).alias("_n")),
-        "simhash-nodes",
-    )
-    roots = components(links(nodes))
-    rooted = nodes.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
+    least = [F.min(key).alias("_low"), F.count(F.lit(1)).alias("_n")]
+    if similarity is None:
+        prints = fingerprints(docs, width, text, [key, *keep]).withColumn("_node", F.col("simhash"))
+        prints = store(prints, "simhash")
+        nodes = store(prints.groupBy("_node").agg(*least), "simhash-nodes")
+        linked = links(nodes, "_node", radius)
+    else:
+        made = sketched(docs, width, text, [key, *keep])
+        prints = store(made.withColumn("_node", F.xxhash64("simhash", "sketch", "bands")), "simhash")
+        content = [F.any_value(c).alias(c) for c in ("simhash", "sketch", "bands")]
+        nodes = store(prints.groupBy("_node").agg(*least, *content), "simhash-nodes")
+        linked = _similar(nodes, radius, similarity)
+    roots = components(linked)
+    rooted = nodes.select("_node", "_low", "_n").join(roots.withColumnRenamed("node", "_node"), "_node", "left")
     lows = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("_low").alias("_least"))
     table = store(
         rooted.join(lows, "root", "left").select(
-            "simhash", F.coalesce("_least", "_low").alias("component_id"), "_n"
+            "_node", F.coalesce("_least", "_low").alias("component_id"), "_n"
         ),
         "simhash-components",
     )
-    return attach(prints, table, ["simhash"], "_n", F.col(key)).drop("_n")
+    prints = prints.drop("sketch", "bands")
+    return attach(prints, table, ["_node"], "_n", F.col(key)).drop("_n", "_node")
+
+
+def _similar(nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links between similar nodes that share a band or a component of fingerprints."""
+    prints = nodes.groupBy("simhash").agg(F.count(F.lit(1)).alias("_n"))
+    close = components(links(prints, "simhash", radius)).select(F.col("node").alias("simhash"), "root")
+    table = store(
+        prints.join(close, "simhash", "left").select("simhash", F.coalesce("root", "simhash").alias("root"), "_n"),
+        "simhash-close",
+    )
+    near = attach(nodes.select("_node", "simhash"), table, ["simhash"], "_n", F.col("_node"))
+    groups = nodes.select(F.col("_node").alias("node"), F.explode("bands").alias("band")).unionByName(
+        near.select(F.col("_node").alias("node"), F.xxhash64("root").alias("band"))
+    )
+    return minhash.links(nodes.withColumnRenamed("_node", "node"), groups, similarity)
 
 
 def without_near_duplicates(
-    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text",
+    radius: int = RADIUS, similarity: float | None = None,
 ) -> DataFrame:
     """`docs` with one row of each component: that with the smallest key.
 
@@ -120,6 +194,6 @@ def without_near_duplicates(
     component has NULL keys.
     """
     marked = docs.withColumn("_print", F.xxhash64(text))
-    found = near_duplicates(marked, width, key, text, ["_print"])
+    found = near_duplicates(marked, width, key, text, ["_print"], radius, similarity)
     keepers = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(key, "_print")
     return one_each(marked, keepers, [key, "_print"]).select(*docs.columns)

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 import xxhash
 
+import corpus_pipeline
 from offerwise.llm import components, exact, queries, runindex, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -203,3 +204,49 @@ def test_run_index_matches_brute_force():
             earlier = [t for t, d in zip(strings, doc, strict=True) if d < doc[i]]
             mask = sum(1 << p for p in range(len(s) - 49) if any(s[p : p + 50] in t for t in earlier))
             assert mask == got[i]
+
+
+def jaccard(one, other, width=5):
+    a, b = ({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (one, other))
+    return len(a & b) / len(a | b)
+
+
+def test_stage_drops_near_copies_of_similarity_80(spark, docs_of):
+    random = np.random.default_rng(3)
+    rows, pairs = [], []
+    for i in range(120):
+        text = [f"w{x}" for x in random.integers(0, 5000, 400)]
+        copy = list(text)
+        for n, at in enumerate(random.permutation(400), 1):
+            copy[at] = f"new{n}"
+            if jaccard(text, copy) < (0.83, 0.9, 0.95)[i % 3]:
+                copy[at] = text[at]
+                break
+        far = list(text)
+        far[:150] = [f"far{x}" for x in range(150)]  # similarity about 0.45
+        rows += [(10 * i, " ".join(text), None, None), (10 * i + 1, " ".join(copy), None, None), (10 * i + 2, " ".join(far), None, None)]
+        pairs.append(jaccard(text, copy))
+    assert min(pairs) >= 0.83
+    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()}
+    assert {10 * i for i in range(120)} | {10 * i + 2 for i in range(120)} <= left
+    # Estimates have a standard error of 0.0125 at most, so one pair near 0.8 may be judged below it.
+    assert sum(10 * i + 1 in left for i in range(120)) <= 2
+
+
+def test_large_groups_of_near_copies_are_linked(spark, docs_of):
+    random = np.random.default_rng(5)
+    text = [f"w{x}" for x in random.integers(0, 5000, 300)]
+    rows = [(0, " ".join(text), None, None)]
+    for i in range(1, 700):
+        copy = list(text)
+        for at in random.integers(0, 300, 3):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(copy), None, None))
+    left = corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()
+    assert [r.doc_id for r in left] == [0]
+
+
+def test_radius_of_links(spark):
+    nodes = spark.createDataFrame([(0,), (0b1111,), (-1,)], "simhash bigint")
+    assert simhash.links(nodes).collect() == []
+    assert [tuple(r) for r in simhash.links(nodes, radius=4).collect()] == [(0, 0b1111)]
