@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -182,24 +183,33 @@ def nearest(
     """query_id, rank (from 1), vec_id and score of the k nearest other rows of each query.
 
     Rows whose vector is NULL, zero or has a NULL or non-finite component take no part, nor
-    do rows with a NULL key or (as none can be compared) vectors of another length than most
-    have. Ties go to the smaller key. Keys that repeat with one vector are each a row. The
+    do rows with a NULL key. Vectors of unlike length cannot be compared: each length is
+    searched on its own, one after the other. Ties go to the smaller key. Keys that repeat with one vector are each a row. The
     router is fitted on `sample` distinct vectors (those with the smallest hashes), which also
     bounds the parts, of which there are about sqrt(vectors) / PER_ROOT, to sample / 32; every vector is placed and can be found.
     """
-    rows = vectors.where(usable(vec) & F.col(key).isNotNull())
-    sizes = rows.groupBy(F.size(vec).alias("w")).count().orderBy(F.desc("count"), "w").first()
-    width = sizes[0] if sizes else 1
     rows = store(
-        rows.where(F.size(vec) == width).select(
+        vectors.where(usable(vec) & F.col(key).isNotNull()).select(
             F.col(key).alias("id"),
             F.col(vec).cast("array<double>").alias("vec"),
+            F.size(vec).alias("width"),
             F.xxhash64(vec).alias("h"),
             F.xxhash64(F.lit(1), vec).alias("g"),
             is_query.alias("asked"),
         ),
         "ann-rows",
     )
+    # One row a length; tables have one or a few.
+    widths = sorted(r[0] for r in rows.select("width").distinct().collect()) or [1]
+    found = [
+        _nearest(rows.where(F.col("width") == w).drop("width"), w, k, sample, recall, block)
+        for w in widths
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, width: int, k: int, sample: int, recall: float, block: int) -> DataFrame:
+    """`nearest` among rows (id, vec, h, g, asked) whose vectors have length `width`."""
     # The k + 1 smallest ids of each vector; the limit also works before the shuffle.
     smallest = rows.withColumn("n", F.row_number().over(W.partitionBy("h", "g").orderBy("id")))
     members = store(
@@ -216,7 +226,7 @@ def nearest(
     x = _matrix(picked["vec"].combine_chunks(), width) if picked.num_rows else np.zeros((0, width))
     parts = 1 << max(0, round(np.log2(max(1.0, np.sqrt(distinct) / PER_ROOT))))
     router = learn(x, parts, recall, k)
-    sent = vectors.sparkSession.sparkContext.broadcast(router)
+    sent = rows.sparkSession.sparkContext.broadcast(router)
 
     def route(count: int):
         def results(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

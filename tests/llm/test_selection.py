@@ -265,6 +265,15 @@ def test_neighbours_hard(spark):
     assert neighbours.nearest(few.limit(0), F.col("vec_id") == 0).collect() == []
 
 
+def test_neighbours_of_each_length(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(5)] + [(10 + i, [float(i), 1.0, 1.0]) for i in range(3)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = neighbours.nearest(vectors, F.col("vec_id").isin(1, 10)).collect()
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got} == {
+        (1, 1, 4), (1, 2, 3), (1, 3, 2), (1, 4, 0), (10, 1, 11), (10, 2, 12)
+    }
+
+
 def test_pipeline_stages_keep_columns_and_decisions(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     labels = pd.read_parquet(f"{LARGER}/labels.parquet")
