@@ -11,4 +11,35 @@ ORACLES: dict[str, str] = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
         from texts window same as (partition by t)""",
+    "op12_decontamination": r"""
+        with texts as (
+            select row_number() over () as row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents),
+        items as (
+            select item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark),
+        starts as (
+            select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from items where len(w) > 0),
+        windows as (
+            select distinct item_id, least(10, len(w)) as n, array_to_string(w[s:s + 9], ' ') as words
+            from starts),
+        sizes as (select distinct n from windows),
+        places as (
+            select row, w, n, unnest(range(1, len(w) - n + 2)) as s from texts, sizes where len(w) >= n),
+        hits as (
+            select row, s, p.n, item_id
+            from places p join windows x on p.n = x.n and array_to_string(w[s:s + p.n - 1], ' ') = x.words),
+        marked as (select distinct row, unnest(range(s, s + n)) as i from hits),
+        counted as (select row, count(*) as n_hit from marked group by row),
+        listed as (
+            select row, count(distinct item_id) as n_items,
+                   string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+            from hits group by row)
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from texts left join counted using (row) left join listed using (row)""",
 }

@@ -10,7 +10,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.llm import bpe, crf, exact, importance, mixing, neighbours, runindex, simhash, simple8b, toxicity
+from offerwise.llm import (
+    bpe,
+    contamination,
+    crf,
+    exact,
+    importance,
+    mixing,
+    neighbours,
+    periodic,
+    runindex,
+    simhash,
+    simple8b,
+    toxicity,
+)
 from offerwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +119,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic.digests(periodic.with_runs(docs, keep=["doc_id"], seed=seed))
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination.contaminated(documents(spark, sf_dir), items, keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
