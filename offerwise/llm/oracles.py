@@ -42,4 +42,42 @@ ORACLES: dict[str, str] = {
         select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from texts left join counted using (row) left join listed using (row)""",
+    "op13_collocations": r"""
+        with texts as (
+            select coalesce(lang, 'und') as lang,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+            from documents where text is not null),
+        pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from texts),
+        lists as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces),
+        totals as (select lang, cast(sum(len(w)) as bigint) as n from lists group by lang),
+        places as (
+            select lang, w, k, unnest(range(1, len(w) - k + 2)) as s
+            from lists, (values (1), (2), (3), (4)) lengths(k) where len(w) >= k),
+        counts as (
+            select lang, k, array_to_string(w[s:s + k - 1], ' ') as phrase, count(*) as f
+            from places group by all having count(*) >= 30),
+        cuts as (
+            select lang, phrase, k, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as cut
+            from counts where k > 1),
+        scores as (
+            select c.lang, c.phrase, a, cut, x.f as l, y.f as r,
+                   cast(2000000 * a::hugeint // (x.f::hugeint + y.f) as bigint) as score
+            from cuts c
+            join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:cut], ' ')
+            join counts y on y.lang = c.lang and y.phrase = array_to_string(w[cut + 1:], ' ')),
+        lowest as (
+            select * from scores
+            qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        longer as (
+            select distinct lang, array_to_string(string_split(phrase, ' ')[i:j], ' ') as phrase, f
+            from counts, range(1, 5) a(i), range(1, 5) b(j)
+            where i <= j and j <= k and j - i + 1 < k),
+        kept as (
+            select * from lowest c
+            where not exists (
+                from longer d where d.lang = c.lang and d.phrase = c.phrase and 100 * d.f::hugeint >= 80 * a::hugeint))
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+               phrase, a, l, r, n, score
+        from kept join totals using (lang)
+        qualify rank <= 2000""",
 }

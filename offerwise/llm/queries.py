@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from offerwise.llm import (
     bpe,
+    collocations,
     contamination,
     crf,
     exact,
@@ -140,3 +141,8 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
