@@ -16,8 +16,9 @@ those still in their cycle are carried on to the next step.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,11 @@ def _counted(
                 break
 
 
+@lru_cache(maxsize=1)
+def _unpacked(table: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(table), np.uint8)
+
+
 def _slots(batch: pa.RecordBatch, bits: int) -> pa.RecordBatch:
     """Slots, from 1, of phrases given as texts."""
     of_lang, found = _lang_hashes(batch.column(0)), []
@@ -201,11 +207,13 @@ def frequent(
     reached = np.full(1 << bits, NEVER, np.uint8)
     state, words, done, last, step = None, None, [], 0, 0
     while step < last + shards:
-        held = spark.sparkContext.broadcast(reached)
+        # Mostly NEVER, and packed small on its way; a task's worker unpacks it once a step.
+        held = spark.sparkContext.broadcast(zlib.compress(reached, 1))
 
         def scan(batches, step=step, held=held):
+            table = _unpacked(held.value)
             for b in batches:
-                yield from _counted(b.column(0), b.column(1), step, shards, held.value, longest)
+                yield from _counted(b.column(0), b.column(1), step, shards, table, longest)
 
         counts = tables[step % shards].mapInArrow(
             scan, "lang string, k int, phrase string, begin int, f bigint"
@@ -223,7 +231,7 @@ def frequent(
         if step >= shards - 1:
             ended = often.where(F.col("begin") == step - shards + 1)
             done.append(store(ended.select(*_KEY, "f"), "frequent"))
-        held.unpersist()
+        held.destroy()
         step += 1
     return reduce(DataFrame.unionByName, done), words
 
