@@ -6,11 +6,11 @@ from offerwise.models.fitting import (
     churn_risk,
     fit_churn_model,
     fit_outcome_model,
-    load_model,
     model_features,
     save_model,
     scorer_of,
 )
+from offerwise.models.published import load_model, model_versions, publish, roll_back
 from offerwise.models.tuning import SEARCH_SPACE, tune
 
 __all__ = [
@@ -22,6 +22,9 @@ __all__ = [
     "fit_outcome_model",
     "load_model",
     "model_features",
+    "model_versions",
+    "publish",
+    "roll_back",
     "save_model",
     "scorer_of",
     "tune",

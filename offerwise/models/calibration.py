@@ -11,17 +11,18 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerwise.functions import hash_bucket
 from offerwise.models.fitting import Learner, assemble_model, model_inputs, training_vectors
 from offerwise.models.tuning import FOLDS, fold_of
+from offerwise.operators.calibrated import BINS
 from offerwise.schemas import OUTCOMES, PROBABILITIES
 from offerwise.session import store
 
-# The isotonic merge is not distributed, so it sees scores binned to 1e-4:
-# at most this many points per outcome, each with the weight of its rows.
-BINS = 10_000
+# The isotonic merge is not distributed, so it sees scores in BINS bins: at most one point in
+# each per outcome, with the weight of its rows.
 
 
 def calibrate(
@@ -31,13 +32,15 @@ def calibrate(
     weight: str | None = None,
     key: str = "purchaseid",
     folds: int = FOLDS,
+    bucket: Callable[[Column, int, int], Column] = hash_bucket,
 ) -> PipelineModel:
     """A pipeline of one model per fold, each calibrated on the rows it has not seen.
 
     Per fold and outcome, scores are mapped through an isotonic fit against
     that outcome and normalised over the outcomes; the folds are averaged.
+    `bucket` deals rows over the folds by their key.
     """
-    placed = train.withColumn("fold", fold_of(F.col(key), folds))
+    placed = train.withColumn("fold", fold_of(F.col(key), folds, bucket=bucket))
     kept = ["fold", *([weight] if weight else [])]
 
     def fit_fold(fold: int) -> PipelineModel:

@@ -18,9 +18,11 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerwise.operators.calibrated import CalibratedScorer, Curve, addressable
 from offerwise.operators.scenarios import align_features
 from offerwise.operators.scoring import (
     MISSING,
@@ -198,21 +200,39 @@ def model_features(model: PipelineModel) -> list[str]:
 
 
 def scorer_of(model: PipelineModel) -> Scorer:
-    """The cheapest scorer for a fitted model: column arithmetic if it is linear."""
+    """The cheapest scorer for a fitted model: column arithmetic if it is linear, calibrated or not."""
     last = model.stages[-1]
     features = model_features(model)
-    if not isinstance(last, LogisticRegressionModel):
+    inputs = tuple(model_inputs(features))
+    if isinstance(last, LogisticRegressionModel):
+        return softmax_scorer(last, inputs)
+    linear = [s for s in model.stages if isinstance(s, LogisticRegressionModel)]
+    curves = [s for s in model.stages if isinstance(s, IsotonicRegressionModel)]
+    knots = [c.boundaries.toArray() for c in curves]
+    if not linear or len(curves) != len(OUTCOMES) * len(linear) or not all(map(addressable, knots)):
         return ModelScorer(model, tuple(features))
+    return CalibratedScorer(
+        folds=tuple(softmax_scorer(fold, inputs) for fold in linear),
+        # A fold's curves follow it, in outcome order.
+        curves=tuple(
+            tuple(_curve(c) for c in curves[f : f + len(OUTCOMES)])
+            for f in range(0, len(curves), len(OUTCOMES))
+        ),
+    )
+
+
+def softmax_scorer(model: LogisticRegressionModel, inputs: Sequence[str]) -> SoftmaxScorer:
+    """A fitted model as column arithmetic over `inputs`, the entries of its vector."""
     return SoftmaxScorer(
-        features=tuple(model_inputs(features)),
-        coefficients=tuple(tuple(r) for r in last.coefficientMatrix.toArray().tolist()),
-        intercepts=tuple(last.interceptVector.toArray().tolist()),
+        features=tuple(inputs),
+        coefficients=tuple(tuple(r) for r in model.coefficientMatrix.toArray().tolist()),
+        intercepts=tuple(model.interceptVector.toArray().tolist()),
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def _curve(model: IsotonicRegressionModel) -> Curve:
+    return Curve(tuple(model.boundaries.toArray().tolist()), tuple(model.predictions.toArray().tolist()))
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)

@@ -5,20 +5,22 @@ from __future__ import annotations
 import itertools
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import hash_bucket
-from offerwise.models.fitting import Learner, model_inputs, training_vectors
+from offerwise.models.fitting import Learner, model_inputs, softmax_scorer, training_vectors
 from offerwise.operators.metrics import log_loss
-from offerwise.operators.scoring import with_probabilities
+from offerwise.operators.scoring import SoftmaxScorer, with_given, with_probabilities
 
 # The settings searched, how many are drawn, and the folds.
 SEARCH_SPACE = {
@@ -47,9 +49,14 @@ DRAWS = 15
 FOLDS = 3
 
 
-def fold_of(key: Column, folds: int = FOLDS, seed: int = 7) -> Column:
+def fold_of(
+    key: Column,
+    folds: int = FOLDS,
+    seed: int = 7,
+    bucket: Callable[[Column, int, int], Column] = hash_bucket,
+) -> Column:
     """Fold of a row by a hash of its key."""
-    return hash_bucket(key, seed, folds).cast("int")
+    return bucket(key, seed, folds).cast("int")
 
 
 class OutcomeLogLoss(Evaluator):
@@ -75,19 +82,49 @@ def draw_settings(space: dict[str, Sequence], draws: int, seed: int) -> list[dic
 def _cross_validated(
     vectors: DataFrame, estimator: Pipeline, maps: list[dict], folds: int, parallelism: int
 ) -> list[float]:
-    """Mean log loss of each setting over the folds. Nothing is refitted on all rows."""
+    """Mean log loss of each setting over the folds. Nothing is refitted on all rows.
+
+    Linear models of a fold are judged together, in one pass over its held-out rows; others
+    each in a job of their own.
+    """
     evaluator = OutcomeLogLoss()
+    linear = all(isinstance(s, LogisticRegression) for s in estimator.getStages())
+
+    def held_out(fold: int) -> DataFrame:
+        return vectors.where(F.col("fold") == fold)
 
-    def loss(task: tuple[int, dict]) -> float:
+    def judged(task: tuple[int, dict]) -> SoftmaxScorer | float:
         fold, settings = task
         fitted = estimator.fit(vectors.where(F.col("fold") != fold), settings)
-        return evaluator.evaluate(fitted.transform(vectors.where(F.col("fold") == fold)))
-
-    tasks = [(fold, settings) for settings in maps for fold in range(folds)]
-    run = [inheritable_thread_target(vectors.sparkSession)(partial(loss, task)) for task in tasks]
-    with ThreadPoolExecutor(parallelism) as pool:
-        losses = list(pool.map(lambda task: task(), run))
-    return [sum(losses[i : i + folds]) / folds for i in range(0, len(losses), folds)]
+        if linear:
+            model = fitted.stages[0]
+            return softmax_scorer(model, [f"x{j}" for j in range(model.numFeatures)])
+        return evaluator.evaluate(fitted.transform(held_out(fold)))
+
+    tasks = [(fold, settings) for fold in range(folds) for settings in maps]
+    run = [inheritable_thread_target(vectors.sparkSession)(partial(judged, task)) for task in tasks]
+    with ThreadPoolExecutor(min(parallelism, len(run))) as pool:
+        found = list(pool.map(lambda task: task(), run))
+    by_fold = [found[i : i + len(maps)] for i in range(0, len(found), len(maps))]
+    if linear:
+        by_fold = [linear_losses(held_out(f), scorers) for f, scorers in enumerate(by_fold)]
+    return [sum(losses) / folds for losses in zip(*by_fold, strict=True)]
+
+
+def linear_losses(vectors: DataFrame, scorers: Sequence[SoftmaxScorer]) -> list[float]:
+    """Log loss of each model on the same rows (features, label): one job, one row of losses.
+
+    Models read the entries of the vector as x0, x1 and so on.
+    """
+    entries = [F.get("_entries", F.lit(j)).alias(f) for j, f in enumerate(scorers[0].features)]
+    rows = vectors.select("label", vector_to_array("features").alias("_entries"))
+    df = rows.select("label", *entries)
+    names = [f"_given_{i}" for i in range(len(scorers))]
+    df = with_given(df, scorers, names)
+    losses = df.agg(
+        *[log_loss(F.col("label"), [F.col(n)] * 3).alias(n) for n in names]
+    ).first()
+    return [math.nan if loss is None else loss for loss in losses]
 
 
 def tune(
@@ -100,9 +137,14 @@ def tune(
     draws: int = DRAWS,
     folds: int = FOLDS,
     seed: int = 42,
-    parallelism: int = 8,
+    parallelism: int | None = None,
 ) -> tuple[Learner, list[tuple[dict, float]]]:
-    """The learner with the best settings, and every drawn setting with its log loss."""
+    """The learner with the best settings, and every drawn setting with its log loss.
+
+    `parallelism` is how many fits run at a time: by default as many as there are cores, up to
+    the number of fits.
+    """
+    parallelism = parallelism or train.sparkSession.sparkContext.defaultParallelism
     settings = draw_settings(space or SEARCH_SPACE[learner.family], draws, seed)
     classifiers = learner.classifiers(model_inputs(features), weight)
     maps = [

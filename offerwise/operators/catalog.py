@@ -44,7 +44,14 @@ def priced_of(
 ) -> DataFrame:
     """`with_catalog_price` where `rows`, the row count of `purchases` and an upper bound of
     the cell count, has just been taken."""
-    cells = catalog_cells(purchases)
+    return join_cells(purchases, catalog_cells(purchases), rows, broadcast_cells, hot_cell_rows)
+
+
+def join_cells(
+    purchases: DataFrame, cells: DataFrame, rows: int, broadcast_cells: int, hot_cell_rows: int
+) -> DataFrame:
+    """`purchases` with the price of their cell, if it is among `cells`. `rows` is an upper bound
+    of the number of cells and of their rows."""
     shaped = purchases.withColumn("catalog_month", month_of(F.col("purchasedate")))
     if rows > broadcast_cells:
         cells = store(cells, "catalog-cells")

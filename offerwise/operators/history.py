@@ -37,18 +37,23 @@ def with_history(
 
 def history_of(purchases: DataFrame, rows: int, hot_user_rows: int, chunk_rows: int) -> DataFrame:
     """`with_history` where `rows`, the row count of `purchases`, has just been taken."""
+    return finished(windows_of(purchases, rows, hot_user_rows, chunk_rows))
+
+
+def windows_of(purchases: DataFrame, rows: int, hot_user_rows: int, chunk_rows: int) -> DataFrame:
+    """What `finished` makes the history of, and `carried` may put earlier purchases before."""
     if rows <= hot_user_rows:
-        return _finish(_windows(purchases, "username"))
+        return _windows(purchases, "username")
     hot = _hot_users(purchases, hot_limit(hot_user_rows, rows))
     users, hot_rows = hot.agg(F.count("user_rows"), F.sum("user_rows")).first()
     if not users:
-        return _finish(_windows(purchases, "username"))
+        return _windows(purchases, "username")
     # At most MOST_HOT_KEYS customers are hot, whatever the size of the input.
     match = purchases["username"].eqNullSafe(hot["hot_name"])
     usual = purchases.join(F.broadcast(hot), match, "left_anti")
     crowded = purchases.join(F.broadcast(hot), match, "inner").drop("hot_name", "user_rows")
     split = _split_history(crowded, users, math.ceil(hot_rows / chunk_rows))
-    return _finish(_windows(usual, "username")).unionByName(_finish(split))
+    return _windows(usual, "username").unionByName(split.drop("hot_id", "chunk"))
 
 
 def _hot_users(purchases: DataFrame, hot_user_rows: int) -> DataFrame:
@@ -78,7 +83,7 @@ def _windows(df: DataFrame, *group: str) -> DataFrame:
     )
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def finished(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "cumulative_ltv": F.col("spent_before").cast("decimal(28,2)"),
@@ -88,7 +93,7 @@ def _finish(df: DataFrame) -> DataFrame:
                 F.col("recent_count") > 0, F.col("recent_sum") / F.col("recent_count")
             ),
         }
-    ).drop("spent_before", "next_row", "prev_row", "recent_sum", "recent_count", "hot_id", "chunk")
+    ).drop("spent_before", "next_row", "prev_row", "recent_sum", "recent_count")
 
 
 def _split_history(crowded: DataFrame, users: int, chunks: int) -> DataFrame:
@@ -110,8 +115,15 @@ def _split_history(crowded: DataFrame, users: int, chunks: int) -> DataFrame:
     # A chunk boundary or a change of customer starts a row of `around`.
     if chunks + users <= BROADCAST_CHUNKS:
         around = F.broadcast(around)
-    local = _windows(placed, "hot_id", "chunk").join(around, ["hot_id", "chunk"])
+    return carried(_windows(placed, "hot_id", "chunk").join(around, ["hot_id", "chunk"]))
+
 
+def carried(local: DataFrame) -> DataFrame:
+    """Windows over part of a customer's purchases, put between those before and after it.
+
+    Every row has, of the part it lies in: rows_earlier, spent_earlier, row_before and
+    earlier_disruptions (the latest three, latest first) of what comes before, and row_after.
+    """
     position = F.col("purchase_sequence")
     carried_sum, carried_count = F.col("recent_sum"), F.col("recent_count")
     for back in (1, 2, 3):

@@ -73,6 +73,14 @@ class SoftmaxScorer:
             lambda scenario, discount: p_at(discount),
         )
 
+    def ends(self, df: DataFrame, prefix: str) -> DataFrame:
+        """Add the margins at no discount and at one of 100 %, as <prefix>full_k and <prefix>free_k:
+        between them margins are linear in the discount."""
+        df = self.at_discounts(df, ()).df.drop(*_names("_fixed"))
+        return df.withColumnsRenamed(
+            {n: f"{prefix}{n[1:]}" for n in (*_names("_full"), *_names("_free"))}
+        )
+
     def _input_names(self, features: Sequence[str]) -> list[str]:
         return [f"_in_{self.features.index(f)}" for f in features]
 
@@ -112,6 +120,26 @@ class Scenarios:
     p_chosen: Callable[[str, str], list[str]]
 
 
+def with_given(
+    df: DataFrame, scorers: Sequence[SoftmaxScorer], names: Sequence[str], label: str = "label"
+) -> DataFrame:
+    """Add what each scorer gives the row's label; all have the same features.
+
+    Each scorer is a step of its own, so that its code stays small enough to be compiled.
+    """
+    features = scorers[0].features
+    kept = list(df.columns)
+    df = scorers[0]._with_inputs(df, features)
+    inputs = scorers[0]._input_names(features)
+    for scorer, name in zip(scorers, names, strict=True):
+        margins = _names("_margin")
+        start = [number(b) for b in scorer.intercepts]
+        df = in_between(df, margins, scorer._margins(start, features))
+        cases = " ".join(f"WHEN {k} THEN {p}" for k, p in enumerate(softmax(margins)))
+        df = in_between(df, [name], [f"CASE cast(`{label}` AS int) {cases} END"]).drop(*margins)
+    return df.select(*kept, *names).drop(*inputs)
+
+
 def _as_probabilities(p: Sequence[str]) -> list[str]:
     return [f"{sql} AS {name}" for name, sql in zip(PROBABILITIES, p, strict=True)]
 
@@ -152,12 +180,17 @@ def score_at_discounts(
         return Scenarios(scorer(df), [PROBABILITIES] * len(grid), lambda *_: list(PROBABILITIES))
     if probs != "rescored":
         raise ValueError(f"probs must be 'static' or 'rescored', not {probs!r}")
-    if isinstance(scorer, SoftmaxScorer):
+    if hasattr(scorer, "at_discounts"):
         return scorer.at_discounts(df, grid)
     for i, discount in enumerate(grid):
         df = scorer(at_discount(df, discount))
         df = df.withColumnsRenamed({p: f"{p}_{i}" for p in PROBABILITIES})
     columns = [tuple(f"{p}_{i}" for p in PROBABILITIES) for i in range(len(grid))]
+    return Scenarios(df, columns, choice_of(columns))
+
+
+def choice_of(columns: Sequence[tuple[str, ...]]) -> Callable[[str, str], list[str]]:
+    """`Scenarios.p_chosen` where the probabilities of every scenario are columns."""
 
     def p_chosen(scenario: str, discount: str) -> list[str]:
         chosen = []
@@ -166,7 +199,7 @@ def score_at_discounts(
             chosen.append(f"CASE {scenario} {cases} END")
         return chosen
 
-    return Scenarios(df, columns, p_chosen)
+    return p_chosen
 
 
 def with_probabilities(scored: DataFrame) -> DataFrame:

@@ -67,51 +67,84 @@ def text_features(df: DataFrame) -> list[str]:
     ]
 
 
-def encode_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Replace text columns by the rank of each value among the sorted values, from 0.
-
-    Any number of distinct values will do: see `ranked_values`.
+def encode_text(
+    df: DataFrame, columns: list[str] | None = None, broadcast_values: int = BROADCAST_VALUES
+) -> DataFrame:
+    """Replace text columns by the rank of each value among the column's sorted values, from 0.
+
+    All columns share one dictionary, so that any number of them takes one exchange of counts
+    and one of distinct values (see `ranked_values`). Columns of few values are looked up by
+    broadcast, beside each other; those of many by shuffle, together: their values are listed
+    one to a row, joined once, and put back by row.
     """
-    for column in text_features(df) if columns is None else columns:
-        df = _encoded(df, column)
-    return df
-
-
-def ranked_values(df: DataFrame, column: str) -> DataFrame:
-    """(value, rank from 0, rows) of the distinct values of a column, NULL left out.
-
-    Values are counted map-side and range-partitioned; each partition is ranked on its own,
-    after the values of those before it. The partition numbers are stored, so that they
-    cannot change between the two reads.
+    columns = text_features(df) if columns is None else columns
+    if not columns:
+        return df
+    codes = store(ranked_values(df, columns), "text-codes")
+    sizes = codes.groupBy("column").agg(F.sum("rows").alias("rows"), F.count("*").alias("values"))
+    found = {r["column"]: (r["rows"], r["values"]) for r in sizes.collect()}  # a row per column
+    many = [c for c in columns if found.get(c, (0, 0))[1] > broadcast_values]
+    encoded = df
+    for column in (c for c in columns if c not in many):
+        own = codes.where(F.col("column") == column).select(F.col("value").alias(column), "rank")
+        joined = lookup_left_join(encoded, F.broadcast(own), [column])
+        encoded = joined.withColumn(column, F.col("rank")).select(*df.columns)
+    return _looked_up(encoded, many, codes, sum(found[c][0] for c in many)) if many else encoded
+
+
+def _entries(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """(column, value) of all `columns`, a row for each."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns]
+    return df.select(*keep, F.inline(F.array(*pairs)))
+
+
+def ranked_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, rank from 0, rows) of the distinct values of columns, NULL left out.
+
+    Values are counted map-side and range-partitioned by column and value; each partition is
+    ranked on its own, after the values of those before it. The partition numbers are stored,
+    so that they cannot change between the two reads.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    entries = _entries(df, columns).where(F.col("value").isNotNull())
     placed = store(
-        values.agg(F.count(F.lit(1)).alias("rows"))
-        .repartitionByRange("value")
+        entries.groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .repartitionByRange("column", "value")
         .withColumn("part", F.spark_partition_id()),
         "text-values",
     )
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per partition
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy("value")
-    ranked = placed.join(F.broadcast(before), "part")
+    # A row per column and partition.
+    sizes = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("column", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("column", "part").orderBy("value")
+    ranked = placed.join(F.broadcast(before), ["column", "part"])
     rank = (F.col("before") + F.row_number().over(inside) - 1).cast("int")
-    return ranked.select("value", rank.alias("rank"), "rows")
-
-
-def _encoded(df: DataFrame, column: str) -> DataFrame:
-    codes = store(ranked_values(df, column).withColumnRenamed("value", column), "text-codes")
-    rows, values = codes.agg(F.sum("rows"), F.count(F.lit(1))).first()
-    codes_only = codes.drop("rows")
-    if values <= BROADCAST_VALUES:
-        joined = lookup_left_join(df, F.broadcast(codes_only), [column])
-    else:
-        # At most MOST_HOT_KEYS values are hot, whatever the size of the input.
-        hot = codes.where(F.col("rows") > hot_limit(HOT_VALUE_ROWS, rows)).drop("rows")
+    return ranked.select("column", "value", rank.alias("rank"), "rows")
+
+
+def _looked_up(df: DataFrame, columns: list[str], codes: DataFrame, rows: int) -> DataFrame:
+    """`df` with `columns` replaced by their ranks, by one shuffle join for all of them."""
+    wanted = codes.where(F.col("column").isin(columns))
+    # At most MOST_HOT_KEYS values are hot, whatever the size of the input.
+    hot = wanted.where(F.col("rows") > hot_limit(HOT_VALUE_ROWS, rows)).drop("rows")
+    key = ["column", "value"]
+    if len(columns) == 1:
+        column = columns[0]
+        own = [t.drop("column").withColumnRenamed("value", column) for t in (wanted.drop("rows"), hot)]
         spread = F.struct(*[c for c in df.columns if c != column])
-        joined = skewed_lookup_join(df, codes_only, hot, [column], spread_by=spread)
-    return joined.withColumn(column, F.col("rank")).select(*df.columns)
+        joined = skewed_lookup_join(df, *own, [column], spread_by=spread)
+        return joined.withColumn(column, F.col("rank")).select(*df.columns)
+    # The row numbers are stored, since both sides of the last join must agree on them.
+    numbered = store(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    long = _entries(numbered, columns, "_row")
+    joined = skewed_lookup_join(long, wanted.drop("rows"), hot, key, spread_by=F.col("_row"))
+    names = {c: f"_rank_{i}" for i, c in enumerate(columns)}
+    wide = joined.groupBy("_row").agg(
+        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(n) for c, n in names.items()]
+    )
+    back = numbered.join(wide, "_row")
+    return back.select(*[F.col(names[c]).alias(c) if c in names else F.col(f"`{c}`") for c in df.columns])
 
 
 def adapt_external(df: DataFrame, seed: int = 42) -> DataFrame:

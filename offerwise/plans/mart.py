@@ -86,10 +86,15 @@ def build_mart(
     staged = stage_purchases(purchases, static_ip_pattern)
     priced = priced_of(staged, rows, limits["broadcast_cells"], limits["hot_cell_rows"])
     enriched = history_of(priced, rows, limits["hot_user_rows"], limits["chunk_rows"])
+    return mart_rows(enriched, as_of, grace_days)
+
+
+def mart_rows(enriched: DataFrame, as_of: dt.date | str, grace_days: int = GRACE_DAYS) -> DataFrame:
+    """The mart's columns of priced purchases with their history."""
     enriched = with_trends(with_hidden_discount(with_arpu(enriched))).withColumn(
         LABEL, customer_action(as_of, grace_days)
     )
-    key = purchases.schema["username"].dataType
-    id_type = purchases.schema["purchaseid"].dataType
+    key = enriched.schema["username"].dataType
+    id_type = enriched.schema["purchaseid"].dataType
     kinds = {f.name: f.dataType for f in mart_schema(key)} | {"purchaseid": id_type}
     return enriched.select(*[F.col(c).cast(t) for c, t in kinds.items()])

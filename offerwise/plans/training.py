@@ -16,7 +16,7 @@ from offerwise.models import (
     churn_risk,
     fit_churn_model,
     fit_outcome_model,
-    save_model,
+    publish,
     scorer_of,
     tune,
 )
@@ -82,7 +82,7 @@ def train(
     path: str | None = None,
     **search: object,
 ) -> TrainingRun:
-    """Split, weight, tune, calibrate, evaluate and (with `path`) save an outcome model.
+    """Split, weight, tune, calibrate, evaluate and (with `path`) publish an outcome model.
 
     `search` goes to `tune`: draws, folds, parallelism, space. The split rows
     are stored once, since every later step reads them.
@@ -94,17 +94,21 @@ def train(
     unseen = placed.where(~F.col("in_train")).drop("in_train")
     best, results = tune(fitting, features, learner, "class_weight", key, **search)
     model = calibrate(fitting, features, best, "class_weight", key)
-    if path:
-        save_model(model, path)
     predicted = scorer_of(model)(unseen).withColumn("prediction", hard_prediction())
-    return TrainingRun(model, best, results, class_report(predicted))
+    report = class_report(predicted)
+    if path:
+        quality = {r["class"]: r["f1"] for r in report.collect()}
+        publish(mart.sparkSession, model, path, {"search_log_loss": min(r[1] for r in results)} | {
+            f"f1 {name}": f1 for name, f1 in quality.items()
+        })
+    return TrainingRun(model, best, results, report)
 
 
 def retrain(mart: DataFrame, path: str, learner: Learner = PRODUCTION) -> PipelineModel:
-    """Refit the price-constrained model on all labelled rows and save it."""
+    """Refit the price-constrained model on all labelled rows and publish it."""
     rows = labelled(mart)
     model = fit_outcome_model(rows, feature_columns(rows), learner)
-    save_model(model, path)
+    publish(mart.sparkSession, model, path)
     return model
 
 

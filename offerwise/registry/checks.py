@@ -13,20 +13,23 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwise.functions import even_grid
+from offerwise.functions import arithmetic_bucket, even_grid
 from offerwise.models import (
     Learner,
+    calibrate,
     churn_risk,
     fit_churn_model,
     fit_outcome_model,
     load_model,
+    publish,
     save_model,
     scorer_of,
     tune,
 )
 from offerwise.models.tuning import SEARCH_SPACE
 from offerwise.operators import metrics, splits
-from offerwise.operators.scoring import hard_prediction
+from offerwise.operators.calibrated import CalibratedScorer
+from offerwise.operators.scoring import ModelScorer, hard_prediction
 from offerwise.plans import audit, external, strategy, training
 from offerwise.plans.mart import stage_purchases
 from offerwise.registry import inputs
@@ -79,6 +82,28 @@ def q_boosted_shares(spark, sf_dir):
     return _shares(spark, sf_dir, Learner("boosted", params={"maxIter": 1, "maxDepth": 1}))
 
 
+@check
+def q_boosted_default_shares(spark, sf_dir):
+    """All default boosting steps."""
+    return _shares(spark, sf_dir, Learner("boosted"))
+
+
+@check
+def q_calibrated_shares(spark, sf_dir):
+    """Cross-fitted shares, put in order by the isotonic fits and averaged."""
+    rows = inputs.cohort(spark, sf_dir)
+    model = calibrate(rows, [GROUP], Learner(params=EXACT), bucket=arithmetic_bucket)
+    scored = scorer_of(model)(rows)
+    return scored.groupBy(GROUP).agg(*[F.round(F.avg(p), 3).alias(p) for p in PROBABILITIES])
+
+
+@check
+def q_boosted_churn_shares(spark, sf_dir):
+    rows = inputs.cohort(spark, sf_dir)
+    scored = churn_risk(fit_churn_model(rows, [GROUP]), rows)
+    return scored.groupBy(GROUP).agg(F.round(F.avg("churn_risk"), 3).alias("churn_risk"))
+
+
 @check
 def q_churn_shares(spark, sf_dir):
     rows = inputs.cohort(spark, sf_dir)
@@ -145,10 +170,40 @@ def q_saved_model_faults(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differing"))
 
 
+def _differing(rows: DataFrame, before, after, bound: float = 0.0) -> DataFrame:
+    """Rows, and those to which two scorers give probabilities further apart than `bound`."""
+    renamed = {p: f"before_{p}" for p in PROBABILITIES}
+    both = after(before(rows).withColumnsRenamed(renamed))
+    same = reduce(
+        lambda a, b: a & b, [F.abs(F.col(p) - F.col(renamed[p])) <= bound for p in PROBABILITIES]
+    )
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("differing"))
+
+
+@check
+def q_calibrated_faults(spark, sf_dir):
+    """Rows that column code with addressed curves scores unlike the pipeline itself."""
+    rows = inputs.cohort(spark, sf_dir)
+    model = calibrate(metrics.with_class_weights(rows), FEATURES, training.PRODUCTION, "class_weight")
+    by_columns = scorer_of(model)
+    assert isinstance(by_columns, CalibratedScorer)
+    return _differing(rows, ModelScorer(model, FEATURES), by_columns, 1e-9)
+
+
+@check
+def q_saved_calibrated_faults(spark, sf_dir):
+    """Rows whose probabilities differ after a calibrated model was published and loaded."""
+    rows = inputs.cohort(spark, sf_dir)
+    path = scratch_path(spark, "published")
+    model = calibrate(metrics.with_class_weights(rows), FEATURES, training.PRODUCTION, "class_weight")
+    publish(spark, model, path)
+    return _differing(rows, scorer_of(model), scorer_of(load_model(path)))
+
+
 @check
 def q_search_faults(spark, sf_dir):
     rows = inputs.cohort(spark, sf_dir)
-    best, results = tune(rows, [GROUP], Learner(), folds=2)
+    best, results = tune(rows, FEATURES)
     space = SEARCH_SPACE["logistic"]
     drawn = {tuple(sorted(s.items())) for s, _ in results}
     outside = sum(v not in space[k] for s, _ in results for k, v in s.items())
@@ -163,9 +218,7 @@ def q_search_faults(spark, sf_dir):
 @check
 def q_train_supports(spark, sf_dir):
     """Unseen rows of each outcome in the report of a full training run."""
-    report = training.train(
-        inputs.mart(spark, sf_dir), draws=2, folds=2, space={"regParam": [0.01, 0.1], "maxIter": [10]}
-    ).report
+    report = inputs.training_run(spark, sf_dir).report
     return report.where(F.col("class").isin(*metrics.OUTCOME_NAMES)).select("class", "support")
 
 

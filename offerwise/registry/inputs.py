@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from offerwise.operators.scoring import SoftmaxScorer
 from offerwise.plans.mart import build_mart, stage_purchases
-from offerwise.plans.training import labelled
+from offerwise.plans.training import TrainingRun, labelled, train
 from offerwise.session import scratch_path, store
 from offerwise.sources.purchases import purchases_from_orders
 from offerwise.sources.tables import read_mart, write_mart
@@ -91,3 +91,8 @@ def churn_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("Segment"),
         F.when(charge < 2500, "Yes").otherwise("No").alias("Churn"),
     )
+
+
+def training_run(spark: SparkSession, sf_dir: str) -> TrainingRun:
+    """A full training run: the default search, calibration and report."""
+    return _once(spark, sf_dir, "training-run", lambda: train(mart(spark, sf_dir)))

@@ -92,7 +92,7 @@ def q_model_roundtrip(spark, sf_dir):
 
 @query
 def q_train_report(spark, sf_dir):
-    return training.train(inputs.mart(spark, sf_dir)).report
+    return inputs.training_run(spark, sf_dir).report
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from offerwise.registry.inputs import AS_OF
+from offerwise.registry.pricing_queries import CALIBRATED
 
 # Each step of the shared derivation; `_sql` puts the needed ones in front of a query.
 STEPS = {
@@ -770,3 +771,260 @@ ORACLES |= {
     ),
     "q_read_purchases": ORACLES["q_staging"],
 }
+
+
+# --- envelopes, monotone and calibrated scores, attributions -------------------------------
+
+_ROUGH = {
+    "rough": """
+        select purchaseid, catalog_price, scenario_id, discount,
+               ((purchaseid * 7 + 5 * scenario_id * 13) % 10) / 20.0::double as churn
+        from cohort, grid""",
+    # From the lowest price, which is the last scenario, to the highest.
+    "means": """
+        select a.purchaseid, a.scenario_id as first, b.scenario_id as last,
+               avg(m.churn) as mean
+        from rough a join rough b on a.purchaseid = b.purchaseid and b.scenario_id <= a.scenario_id
+        join rough m on m.purchaseid = a.purchaseid
+             and m.scenario_id between b.scenario_id and a.scenario_id
+        group by all""",
+    "least_means": """
+        select r.purchaseid, r.scenario_id, m.first, min(mean) as mean
+        from rough r join means m on m.purchaseid = r.purchaseid
+             and m.first >= r.scenario_id and m.last <= r.scenario_id
+        group by all""",
+    "pooled": """
+        select purchaseid, scenario_id, max(mean) as churn from least_means group by all""",
+    "evened": """
+        select purchaseid, scenario_id, (1 - p.churn) * 0.75::double as a,
+               (1 - p.churn) * 0.25::double as b, p.churn as c, catalog_price * (1 - discount) as offer
+        from pooled p join rough r using (purchaseid, scenario_id)""",
+}
+
+
+def _curve(score: str, x: tuple[float, ...], y: tuple[float, ...]) -> str:
+    """SQL of the line through knots, level outside them."""
+    cases = [f"when {score} <= {x[0]}::double then {y[0]}::double"]
+    for x0, x1, y0, y1 in zip(x, x[1:], y, y[1:], strict=False):
+        along = f"({score} - {x0}::double) / ({x1}::double - {x0}::double)"
+        cases.append(f"when {score} < {x1}::double then {y0}::double + ({y1 - y0!r}::double) * {along}")
+    return f"case {' '.join(cases)} else {y[-1]}::double end"
+
+
+def _calibrated(arpu: str, trend: str, source: str) -> dict[str, str]:
+    """Steps from features to the calibrated probabilities p0, p1 and p2 of registry.pricing_queries."""
+    margins, scores, values, means = [], [], [], []
+    for f, (fold, curves) in enumerate(zip(CALIBRATED.folds, CALIBRATED.curves, strict=True)):
+        for k in range(3):
+            w = fold.coefficients[k]
+            margins.append(
+                f"{fold.intercepts[k]}::double + {w[0]}::double * {arpu} + {w[1]}::double * {trend} as z{f}{k}"
+            )
+            others = " + ".join(f"exp(z{f}{j} - z{f}{k})" for j in range(3))
+            scores.append(f"1 / ({others}) as s{f}{k}")
+            values.append(f"{_curve(f's{f}{k}', curves[k].x, curves[k].y)} as v{f}{k}")
+    for k in range(3):
+        shares = [
+            f"if(v{f}0 + v{f}1 + v{f}2 > 0, v{f}{k} / (v{f}0 + v{f}1 + v{f}2), 1 / 3::double)"
+            for f in range(len(CALIBRATED.folds))
+        ]
+        means.append(f"({' + '.join(shares)}) / {len(CALIBRATED.folds)} as p{k}")
+    return {
+        "margins": f"select *, {', '.join(margins)} from {source}",
+        "raw_scores": f"select *, {', '.join(scores)} from margins",
+        "curved": f"select *, {', '.join(values)} from raw_scores",
+        "calibrated": f"select *, {', '.join(means)} from curved",
+    }
+
+
+_ATTRIBUTION = {
+    "center": "select avg(arpu) as ma, avg(arpu_trend) as mt from cohort",
+    "parts": """
+        select purchaseid, 'arpu' as feature, arpu as value, 0::double as accept,
+               0.0002::double * (arpu - ma) as downgrade, 0.0005::double * (arpu - ma) as churn
+        from cohort, center
+        union all
+        select purchaseid, 'arpu_trend', arpu_trend, 0, 0, 0.0001::double * (arpu_trend - mt)
+        from cohort, center""",
+}
+
+# Shares of rows, as a calibrated model of one binary feature gives them; folds by arithmetic.
+_FOLD = "((purchaseid % 1000003) * 7919 + 7) % 3"
+_CROSS_FITTED = {
+    "folds": f"select has_static_ip as g, {_FOLD} as fold, customer_action as action from cohort",
+    "numbers": "select unnest([0, 1, 2]) as f",
+    "fitted": """
+        select f, k, g, avg(cast(action = k as integer)) filter (where fold <> f) as score,
+               avg(cast(action = k as integer)) filter (where fold = f) as share,
+               count(*) filter (where fold = f) as n
+        from folds, numbers, outcomes group by all""",
+    "paired": """
+        select a.f, a.k, a.g, a.share, (a.score < b.score) = (a.share < b.share) as rises,
+               (a.share * a.n + b.share * b.n) / (a.n + b.n) as pooled
+        from fitted a join fitted b on a.f = b.f and a.k = b.k and a.g <> b.g""",
+    "curves": "select f, k, g, if(rises, share, pooled) as value from paired",
+    "normalised": "select k, g, value / sum(value) over (partition by f, g) as p from curves",
+    "averaged": "select k, g, round(avg(p), 3)::double as p from normalised group by k, g",
+}
+
+
+def _boosted(k: int) -> str:
+    """Margin of outcome k after the default number of boosting steps on one binary feature."""
+    return f"""
+        select g, s, 2 * s - 1 as f, 1 as step
+        from (select has_static_ip as g, avg(cast(customer_action = {k} as integer)) as s
+              from cohort group by has_static_ip)
+        union all
+        select g, s, f + 0.1::double * (s * 4 / (1 + exp(2 * f)) - (1 - s) * 4 / (1 + exp(-2 * f))), step + 1
+        from boost{k} where step < 20"""
+
+
+def _recursive(query: str, ks: tuple[int, ...]) -> str:
+    made = _sql(query, "cohort", extra={f"boost{k}": _boosted(k) for k in ks})
+    return made.replace("with ", "with recursive ", 1)
+
+
+ORACLES |= {
+    "q_alpha_envelope_static": ORACLES["q_alpha_sensitivity_static"],
+    "q_alpha_envelope_rescored": ORACLES["q_alpha_sensitivity_rescored"],
+    "q_alpha_envelope_off_grid": ORACLES["q_alpha_sensitivity_off_grid"],
+    "q_alpha_envelope_fine": _sql(
+        """select alpha, round(sum(greatest(a0 + alpha * b0, a1 + alpha * b1, a2 + alpha * b2,
+                      a3 + alpha * b3, a4 + alpha * b4, a5 + alpha * b5, a6 + alpha * b6)), 1)
+                      as dynamic_value
+           from wide, alphas group by alpha""",
+        "scored",
+        extra={
+            "alphas": "select cast(k as double) / 1000 as alpha from range(1000) as r(k)",
+            "wide": "select purchaseid, "
+            + ", ".join(
+                f"max(p_accept * offered_price) filter (where scenario_id = {i}) as a{i},"
+                f" max(p_downgrade * offered_price) filter (where scenario_id = {i}) as b{i}"
+                for i in range(7)
+            )
+            + " from scored group by purchaseid",
+        },
+    ),
+    "q_monotone_scores": _sql(
+        """select purchaseid, scenario_id, round(a, 6) as p_accept, round(b, 6) as p_downgrade,
+                  round(c, 6) as p_churn
+           from evened""",
+        "cohort",
+        "grid",
+        extra=_ROUGH,
+    ),
+    "q_monotone_offers": _sql(
+        """select purchaseid, scenario_id, round(c, 6) as p_churn
+           from evened
+           qualify row_number() over (
+               partition by purchaseid
+               order by a * offer + b * (offer * 0.7::double) desc, scenario_id) = 1""",
+        "cohort",
+        "grid",
+        extra=_ROUGH,
+    ),
+    "q_monotone_faults": _sql(
+        """select unnest(['forest', 'boosted']) as family, count(*) as rows,
+                  0::bigint as falling_steps, 0::bigint as sums_off_one
+           from cohort""",
+        "cohort",
+    ),
+    "q_calibrated_fixed_scores": _sql(
+        """select purchaseid, round(p0, 6) as p_accept, round(p1, 6) as p_downgrade,
+                  round(p2, 6) as p_churn
+           from calibrated""",
+        "cohort",
+        extra=_calibrated("arpu", "arpu_trend", "cohort"),
+    ),
+    "q_calibrated_fixed_offers": _sql(
+        """select purchaseid, scenario_id, round(p0, 6) as p_accept, round(p1, 6) as p_downgrade,
+                  round(p2, 6) as p_churn,
+                  round(p0 * offered_price + p1 * (offered_price * 0.7::double), 2) as expected_value
+           from calibrated
+           qualify row_number() over (
+               partition by purchaseid
+               order by p0 * offered_price + p1 * (offered_price * 0.7::double) desc, scenario_id) = 1""",
+        "scenarios",
+        extra=_calibrated("offered_arpu", "offered_trend", "scenarios"),
+    ),
+    "q_attribution": _sql(
+        """select purchaseid, feature, round(value, 6) as value, round(accept, 6) as accept,
+                  round(downgrade, 6) as downgrade, round(churn, 6) as churn
+           from parts""",
+        "cohort",
+        extra=_ATTRIBUTION,
+    ),
+    "q_attribution_importance": _sql(
+        """select feature, round(avg(abs(accept)), 6) as accept,
+                  round(avg(abs(downgrade)), 6) as downgrade, round(avg(abs(churn)), 6) as churn
+           from parts group by feature""",
+        "cohort",
+        extra=_ATTRIBUTION,
+    ),
+    "q_attribution_reasons": _sql(
+        """select purchaseid, coalesce(string_agg(feature, ',' order by accept - churn, feature)
+                                       filter (where churn > accept), '') as reasons
+           from parts group by purchaseid""",
+        "cohort",
+        extra=_ATTRIBUTION,
+    ),
+    "q_attribution_faults": _sql(
+        "select count(*) as rows, 0::bigint as off, 14 * count(*) as parts from cohort", "cohort"
+    ),
+    "q_calibrated_shares": _sql(
+        """select g as has_static_ip, max(p) filter (where k = 0) as p_accept,
+                  max(p) filter (where k = 1) as p_downgrade, max(p) filter (where k = 2) as p_churn
+           from averaged group by g""",
+        "cohort",
+        "outcomes",
+        extra=_CROSS_FITTED,
+    ),
+    "q_calibrated_faults": _sql("select count(*) as rows, 0::bigint as differing from cohort", "cohort"),
+    "q_saved_calibrated_faults": _sql(
+        "select count(*) as rows, 0::bigint as differing from cohort", "cohort"
+    ),
+    "q_boosted_churn_shares": _recursive(
+        """select g as has_static_ip, round(1 / (1 + exp(-2 * f)), 3)::double as churn_risk
+           from boost2 where step = 20""",
+        (2,),
+    ),
+    "q_boosted_default_shares": _recursive(
+        """select g as has_static_ip, round(p0 / (p0 + p1 + p2), 3)::double as p_accept,
+                  round(p1 / (p0 + p1 + p2), 3)::double as p_downgrade,
+                  round(p2 / (p0 + p1 + p2), 3)::double as p_churn
+           from (select a.g, 1 / (1 + exp(-2 * a.f)) as p0, 1 / (1 + exp(-2 * b.f)) as p1,
+                        1 / (1 + exp(-2 * c.f)) as p2
+                 from boost0 a join boost1 b using (g, step) join boost2 c using (g, step)
+                 where step = 20)""",
+        (0, 1, 2),
+    ),
+}
+
+ORACLES |= {
+    "q_mart_incremental": ORACLES["q_mart"],
+    "q_mart_bucketed": ORACLES["q_mart"],
+    "q_history_bucketed": ORACLES["q_purchase_sequence_ltv"],
+    "q_quarantine_counts": _sql(
+        """select case when purchaseid % 10 = 0 then 'malformed' when purchaseid % 14 = 1 then 'no username'
+                       when purchaseid % 15 = 2 then 'negative price' else 'none' end as reason,
+                  count(*) as rows, count(*) as told
+           from cohort group by 1""",
+        "cohort",
+    ),
+    "q_quarantine_good": _sql(
+        """select purchaseid, username, catalog_price, arpu, arpu_trend, duration, rolling_3_disruptioncount
+           from cohort where purchaseid % 10 <> 0 and purchaseid % 14 <> 1 and purchaseid % 15 <> 2""",
+        "cohort",
+    ),
+    "q_external_encode_many": "select c_custkey, "
+    + ", ".join(
+        f"""cast(if(t{i} is null, null, dense_rank() over (order by t{i} nulls last) - 1) as integer) as t{i}"""
+        for i in range(20)
+    )
+    + " from (select c_custkey, "
+    + ", ".join(
+        f"if(c_custkey % {i + 3} <> 0, concat_ws('-', c_mktsegment, (c_custkey * {i + 1}) % {7 ** (i % 5)}), null) as t{i}"
+        for i in range(20)
+    )
+    + " from customer)",
+}

@@ -17,14 +17,17 @@ from offerwise.operators.scenarios import expand_scenarios
 from offerwise.operators.scoring import hard_prediction
 from offerwise.operators.value import best_offer, optimal_discount, with_expected_value
 from offerwise.plans import audit, external, mart as mart_plan, prescription, strategy, training
+from offerwise.plans.incremental import append_batch, incremental_mart
 from offerwise.registry import inputs
 from offerwise.registry.checks import CHECKS
 from offerwise.registry.inputs import SCORER
 from offerwise.registry.model_queries import MODEL_QUERIES
+from offerwise.registry.pricing_queries import PRICING
 from offerwise.schemas import FEATURES, LABEL, PROBABILITIES, cohort_schema
 from offerwise.session import scratch_path
 from offerwise.sources import tables
-from offerwise.sources.purchases import HOT_PART_LINES, purchases_from_orders
+from offerwise.sources.purchases import HOT_PART_LINES, purchases_from_orders, read_purchases
+from offerwise.sources.quarantine import read_checked_cohort
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,6 +170,44 @@ def q_mart_parquet_roundtrip(spark, sf_dir):
     return tables.read_mart(spark, path).drop("purchase_month")
 
 
+@query
+def q_mart_incremental(spark, sf_dir):
+    """The mart grown month by month over the last quarter. Some purchases come a month late,
+    some of each month before."""
+    root = scratch_path(spark, "growing-mart")
+    log = inputs.purchases(spark, sf_dir)
+    months = ["2001-05-01", "2001-06-01", "2001-07-01"]
+    number = F.lit(0)
+    for first in months:
+        number = number + (F.col("purchasedate") >= F.lit(first).cast("date")).cast("int")
+    delay = F.when(F.col("purchaseid") % 13 == 0, 1).when(F.col("purchaseid") % 101 == 0, 3).otherwise(0)
+    arrived = log.withColumn("arrival", F.least(number + delay, F.lit(len(months))))
+    for i, as_of in enumerate([*months, inputs.AS_OF]):
+        batch = arrived.where(F.col("arrival") == i).drop("arrival")
+        append_batch(batch, root, as_of, static_ip_pattern=inputs.STATIC_IP)
+    return incremental_mart(spark, root)
+
+
+@query
+def q_history_bucketed(spark, sf_dir):
+    """Purchase history from a table bucketed by customer."""
+    path = scratch_path(spark, "bucketed-log")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    log = tables.save_by_customer(inputs.staged(spark, sf_dir), name, 8, path)
+    return with_history(log).select(
+        *KEY, "purchase_sequence", F.col("cumulative_ltv").cast("double").alias("cumulative_ltv")
+    )
+
+
+@query
+def q_mart_bucketed(spark, sf_dir):
+    path = scratch_path(spark, "bucketed-purchases")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    tables.save_by_customer(inputs.purchases(spark, sf_dir), name, 8, path)
+    log = read_purchases(spark, name, "table")
+    return mart_plan.build_mart(log, inputs.AS_OF, static_ip_pattern=inputs.STATIC_IP)
+
+
 @query
 def q_mart_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "mart-csv")
@@ -240,6 +281,40 @@ def q_cohort_csv(spark, sf_dir):
     return tables.read_cohort_csv(spark, path, written.schema)
 
 
+def _broken_cohort(spark, sf_dir):
+    """A cohort file with rows that do not fit, some for two reasons."""
+    path = scratch_path(spark, "broken-cohort")
+    key = F.col("purchaseid")
+    text = {c: F.col(c).cast("string") for c in COHORT}
+    text["arpu"] = F.when(key % 10 == 0, "n/a").otherwise(text["arpu"])
+    text["username"] = F.when(key % 14 == 1, F.lit(None)).otherwise(text["username"])
+    text["catalog_price"] = F.when(key % 15 == 2, "-1").otherwise(text["catalog_price"])
+    written = inputs.cohort(spark, sf_dir).select(*[text[c].alias(c) for c in COHORT])
+    written.write.option("header", True).csv(path)
+    return read_checked_cohort(spark, path, inputs.cohort(spark, sf_dir).select(*COHORT).schema)
+
+
+@query
+def q_quarantine_counts(spark, sf_dir):
+    """Rows of a cohort file by what is wrong with them, and whether files and rows are told."""
+    checked = _broken_cohort(spark, sf_dir)
+    good, bad = (scratch_path(spark, n) for n in ("good-rows", "bad-rows"))
+    checked.write(good, bad)
+    told = F.col("file").isNotNull() & (F.length("line") > 10)
+    wrong = spark.read.parquet(bad).groupBy("reason").agg(
+        F.count("*").alias("rows"), F.count_if(told).alias("told")
+    )
+    right = spark.read.parquet(good).agg(F.count("*").alias("rows"))
+    return wrong.unionByName(
+        right.select(F.lit("none").alias("reason"), "rows", F.col("rows").alias("told"))
+    )
+
+
+@query
+def q_quarantine_good(spark, sf_dir):
+    return _broken_cohort(spark, sf_dir).good
+
+
 @query
 def q_scenarios(spark, sf_dir):
     return expand_scenarios(inputs.cohort(spark, sf_dir)).select(
@@ -493,5 +568,19 @@ def q_external_csv(spark, sf_dir):
     return rounded(adapted.drop("arpu_trend"), catalog_price=4)
 
 
+@query
+def q_external_encode_many(spark, sf_dir):
+    """Twenty text columns; those of over 100 values are looked up by shuffle, together."""
+    customers = inputs.table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    texts = {
+        f"t{i}": F.when(key % (i + 3) != 0, F.concat_ws("-", "c_mktsegment", (key * (i + 1)) % (7 ** (i % 5))))
+        for i in range(20)
+    }
+    named = customers.select("c_custkey", *[t.alias(n) for n, t in texts.items()])
+    return external.encode_text(named, broadcast_values=100)
+
+
 QUERIES.update(MODEL_QUERIES)
 QUERIES.update(CHECKS)
+QUERIES.update(PRICING)
