@@ -33,9 +33,10 @@ from offerwise.session import scratch_path
 LEAST = 30
 LONGEST = 4
 TOP = 2000
-SHARDS = 3
+SHARDS = 2
 BITS = 25
 BLOCK_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
 
 # A candidate goes if this share (of 100) of its occurrences lie in one longer phrase.
 COVERED = 80
@@ -72,6 +73,18 @@ def pieces(data: np.ndarray, bounds: np.ndarray):
     return starts, np.flatnonzero(finish) + 1, np.cumsum(_ENDS_PIECE[data])[starts] + text, text
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """`hashes`, a stretch of words at a time: its working memory is many times the bytes."""
+    cuts = np.searchsorted(starts, np.arange(HASH_BYTES, len(data), HASH_BYTES))
+    found = []
+    for part in np.split(np.arange(len(starts)), cuts):
+        if len(part):
+            at = slice(part[0], part[-1] + 1)
+            base = starts[part[0]]
+            found.append(hashes(data[base : ends[part[-1]]], starts[at] - base, ends[at] - base))
+    return np.concatenate(found or [np.zeros(0, np.uint64)])
+
+
 def _longer(first: np.ndarray, last_word: np.ndarray) -> np.ndarray:
     """Hashes of phrases, from those without the last word and of that word."""
     return mixed(first * _STEP + last_word)
@@ -105,7 +118,7 @@ def _counted(
     for first, data, bounds in blocks(texts, BLOCK_BYTES):
         data = lowered(data)
         starts, ends, piece, text = pieces(data, bounds)
-        word = _longer(of_lang[first + text], hashes(data, starts, ends))
+        word = _longer(of_lang[first + text], _word_hashes(data, starts, ends))
         phrase, since = word, np.zeros(len(word), np.int32)
         for k in range(1, longest + 1):
             if k > 1:
@@ -146,7 +159,7 @@ def _slots(batch: pa.RecordBatch, bits: int) -> pa.RecordBatch:
     of_lang, found = _lang_hashes(batch.column(0)), []
     for first, data, bounds in blocks(batch.column(1)):
         starts, ends, _, text = pieces(data, bounds)
-        word = _longer(of_lang[first + text], hashes(data, starts, ends))
+        word = _longer(of_lang[first + text], _word_hashes(data, starts, ends))
         begin = np.searchsorted(text, np.arange(len(bounds)))
         phrase, sizes = word[begin[:-1]], np.diff(begin)
         for j in range(1, int(sizes.max(initial=1))):

@@ -39,6 +39,8 @@ def reach(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [given, ROOT]))
     # Batches bounded by bytes: ten thousand long texts would not fit a worker.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    # Shuffle files go with the query that wrote them: what is needed again is stored.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def query(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -13,9 +13,9 @@ One index cannot hold a corpus, so strings are first brought together that can m
   strings have equal anchors, so only documents that share an anchor can share a string.
 * The strings of one anchor's occurrence overlap in one context. Contexts are made for
   anchors that two different texts have; equal contexts are one, with its smallest document.
-* Contexts are dealt out by anchor to shards that are indexed each on its own. An anchor in
-  very many documents would fill a shard: its contexts are cut into their strings, which are
-  dealt out by content.
+* Contexts are dealt out by anchor to shards that are indexed each on its own. An anchor of
+  over CROWD contexts would fill a shard: its contexts are cut into their strings, and the
+  smallest document of each is taken by a grouped minimum, combined before it is shuffled.
 
 Equal texts are one text throughout.
 """
@@ -32,13 +32,14 @@ from pyspark.sql import functions as F
 
 from offerwise.llm import words
 from offerwise.llm.columns import with_results
-from offerwise.llm.tables import attach, release, store, store_dense
+from offerwise.llm.tables import attach, store, store_dense
 
 SPAN = 50
 K = 24
 WINDOWS = SPAN - K + 1
 BUCKET = 200_000
-SHARD = 60_000
+SHARD = 12_000
+CROWD = 2_000
 SAMPLED = 16
 FREQUENT = 500
 
@@ -363,51 +364,64 @@ def _contexts(rows: DataFrame, frequent, bits: int) -> DataFrame:
     )
 
 
-def _strings(distinct: DataFrame, frequent, shards: int) -> DataFrame:
-    """Distinct contexts dealt out to shards; those of frequent anchors string by string."""
+def _digests(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the SPAN bytes from each place on, made in different ways."""
+    padded = np.zeros((len(begin), -(-SPAN // 8) * 8), np.uint8)
+    padded[:, :SPAN] = raw[begin[:, None] + np.arange(SPAN)]
+    factors = words.mixed(np.arange(1, padded.shape[1] // 8 + 1, dtype=np.uint64)) | np.uint64(1)
+    other = words.mixed((words.mixed(padded.view("<u8")) * factors).sum(axis=1))
+    return words.hashes(raw, begin, begin + SPAN), other
+
+
+def _strings(contexts: DataFrame) -> DataFrame:
+    """The strings of contexts: digests a and b, the context h and c, its doc, and the place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            _, offsets, data = batch.column(3).buffers()
-            ends = np.frombuffer(offsets, np.int32, len(h) + 1, batch.column(3).offset * 4).astype(np.int64)
-            raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-            size = np.diff(ends)
-            hot = _member(h, frequent.value)
-            count = np.where(hot, size - SPAN + 1, 1)
-            row = np.repeat(np.arange(len(h)), count)
-            spot = words.gather(np.zeros(len(h), np.int64), count)
-            begin = ends[row] + spot
-            length = np.where(hot[row], SPAN, size[row])
-            mark = np.where(hot[row], words.hashes(raw, begin, begin + SPAN), words.mixed(h)[row])
-            bounds = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
-            body = raw[words.gather(begin, length)]
-            at = pa.array(row)
-            columns = [
-                pa.array((mark % np.uint64(shards)).astype(np.int64)),
-                batch.column(0).take(at),
-                batch.column(1).take(at),
-                pa.array(spot),
-                batch.column(2).take(at),
-                pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(body)]),
-                pa.array(mark.view(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["shard", "h", "c", "spot", "doc", "body", "mark"]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                _, offsets, data = batch.column(3).buffers()
+                n = batch.num_rows
+                ends = np.frombuffer(offsets, np.int32, n + 1, batch.column(3).offset * 4).astype(np.int64)
+                raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+                ends -= ends[0]
+                count = np.diff(ends) - SPAN + 1
+                row = np.repeat(np.arange(n), count)
+                spot = words.gather(np.zeros(n, np.int64), count)
+                a, b = _digests(raw, ends[row] + spot)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(a.view(np.int64)),
+                        pa.array(b.view(np.int64)),
+                        *[batch.column(i).take(take) for i in range(3)],
+                        pa.array(np.int64(1) << spot),
+                    ],
+                    names=["a", "b", "h", "c", "doc", "mask"],
+                )
 
-    doc = distinct.schema["doc"].dataType.simpleString()
-    return distinct.select("h", "c", "doc", "body").mapInArrow(
-        run, f"shard bigint, h bigint, c bigint, spot bigint, doc {doc}, body binary, mark bigint"
+    doc = contexts.schema["doc"].dataType.simpleString()
+    return contexts.select("h", "c", "doc", "body").mapInArrow(
+        run, f"a bigint, b bigint, h bigint, c bigint, doc {doc}, mask bigint"
+    )
+
+
+def _repeated_strings(crowded: DataFrame) -> DataFrame:
+    """(h, c, mask) of contexts with strings that a smaller document has, string by string."""
+    strings = _strings(crowded)
+    lows = strings.groupBy("a", "b").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    lows = store(lows.where("low < high").drop("high"), "repeat-strings")
+    return (
+        attach(strings, lows, ["a", "b"], "n", F.col("c"))
+        .where("doc > low")
+        .select("h", "c", "mask")
     )
 
 
 def _indexed(table: pa.Table) -> pa.Table:
-    """(h, c, mask) of the strings of a shard that have places another, smaller doc has."""
-    mark = table["mark"].to_numpy()
-    _, back, counts = np.unique(mark, return_inverse=True, return_counts=True)
-    # A string alone under its mark has nothing to match.
-    table = table.filter(pa.array(counts[back] > 1)).combine_chunks()
+    """(h, c, mask) of the contexts of a shard that have places another, smaller doc has."""
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("mask", pa.int64())])
     if not table.num_rows:
         return schema.empty_table()
@@ -418,7 +432,6 @@ def _indexed(table: pa.Table) -> pa.Table:
     number = {d: i for i, d in enumerate(sorted(set(names)))}
     doc = np.array([number[d] for d in names], np.int64)
     mask = repeated(np.frombuffer(b"".join(bodies), np.uint8), ends, doc)
-    mask = mask << table["spot"].to_numpy()
     out = pa.table([table["h"], table["c"], pa.array(mask)], schema=schema)
     return out.filter(pa.array(mask != 0))
 
@@ -448,28 +461,31 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     lists = store(
         _shared(able, frequent, bits).groupBy("cls").agg(F.collect_list("h").alias("hs")), "repeat-anchors"
     )
-    release(spark)
     # One row of each text goes on: that with the smallest key.
     wanted = firsts.join(lists, "cls", "left").select(F.col("t").alias("_t"), "low", "hs")
     chosen = able.select("text", "doc", "t").join(
         wanted, (F.col("t") == F.col("_t")) & (F.col("doc") == F.col("low"))
     )
     places = store_dense(_contexts(chosen, frequent, bits), "repeat-contexts")
-    release(spark)
     distinct = store_dense(
         places.groupBy("h", "c").agg(
             F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("body").alias("body")
         ),
         "repeat-distinct",
     )
-    release(spark)
-    shards = max(1, distinct.count() // SHARD)
-    found = (
-        _strings(distinct, frequent, shards)
-        .groupBy("shard")
-        .applyInArrow(_indexed, "h bigint, c bigint, mask bigint")
-        .groupBy("h", "c")
-        .agg(F.bit_or("mask").alias("mask"))
+    # Contexts alone under their anchor have nothing to match; many are matched by string.
+    sizes = store(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("same")).where("same > 1"), "repeat-sizes")
+    sized = attach(distinct.drop("n"), sizes, ["h"], "same", F.col("c")).where("same > 1")
+    sized = store_dense(sized, "repeat-sized")
+    few = sized.where(F.col("same") <= CROWD).drop("same")
+    shards = max(1, -(-few.count() // SHARD))
+    deal = F.pmod(F.xxhash64("h"), F.lit(shards))
+    indexed = few.withColumn("shard", deal).groupBy("shard").applyInArrow(
+        _indexed, "h bigint, c bigint, mask bigint"
+    )
+    crowded = sized.where(F.col("same") > CROWD)
+    found = indexed.unionByName(_repeated_strings(crowded)).groupBy("h", "c").agg(
+        F.bit_or("mask").alias("mask")
     )
     table = store(
         distinct.join(found, ["h", "c"], "left").select(
@@ -477,7 +493,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         ),
         "repeat-found",
     )
-    release(spark)
     windows = F.expr(f"shiftleft(1L, octet_length(body) - {SPAN - 1}) - 1")
     narrow = places.select("h", "c", "doc", "t", "f", windows.alias("all"))
     marked = attach(narrow, table, ["h", "c"], "n", F.col("doc")).withColumn(
@@ -489,7 +504,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.collect_list("f").alias("fs"), F.collect_list("mask").alias("masks"))
     )
     outcome = store(firsts.join(removed, ["t", "low"], "left").drop("cls"), "repeat-removed")
-    release(spark)
     joined = attach(rows, outcome, ["t", "u"], "n", F.col("doc")).select(
         F.col("doc").alias(key),
         "text",

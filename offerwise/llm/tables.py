@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,17 +42,6 @@ def one_each(docs: DataFrame, keepers: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of jobs whose results are stored: Spark drops them when the
-    driver's garbage is collected, which else may be long after. The latest query stays
-    reachable until another has run."""
-    for _ in range(2):
-        spark.range(1).write.format("noop").mode("overwrite").save()
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def store_dense(df: DataFrame, name: str) -> DataFrame:
     """`store` with stronger compression, for texts that overlap."""
     path = scratch_path(df.sparkSession, name)
@@ -62,4 +49,4 @@ def store_dense(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["attach", "documents", "one_each", "release", "store", "store_dense"]
+__all__ = ["attach", "documents", "one_each", "store", "store_dense"]
