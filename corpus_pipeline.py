@@ -30,7 +30,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach(spark)
-    return simhash.without_near_duplicates(docs, width=5, similarity=0.8)
+    return simhash.without_near_duplicates(docs, width=3, radius=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
