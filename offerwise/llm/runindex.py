@@ -39,7 +39,10 @@ K = 24
 WINDOWS = SPAN - K + 1
 BUCKET = 200_000
 SHARD = 12_000
-CROWD = 2_000
+CROWD = 100
+
+# One odd factor for each word of a gram.
+_FACTORS = np.random.default_rng(50).integers(0, 1 << 63, K // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SAMPLED = 16
 FREQUENT = 500
 
@@ -47,6 +50,18 @@ FREQUENT = 500
 # -- anchors ---------------------------------------------------------------------------------
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the K bytes from each byte on, from their three words of eight bytes."""
+    word = data.astype(np.uint64)
+    for reach in (1, 2, 4):
+        word = word[:-reach] | (word[reach:] << np.uint64(8 * reach))
+    n = len(data) - K + 1
+    mixed = word[:n] * _FACTORS[0]
+    for i in range(1, K // 8):
+        mixed += word[8 * i : 8 * i + n] * _FACTORS[i]
+    return words.mixed(mixed)
+
+
 def anchors(data: np.ndarray, bounds: np.ndarray):
     """(hash, text, first string, last string) of each anchor of the texts of a block.
 
@@ -55,26 +70,28 @@ def anchors(data: np.ndarray, bounds: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
         return np.zeros(0, np.uint64), none, none, none
-    begin = np.arange(len(data) - K + 1)
-    value = words.hashes(data, begin, begin + K)
-    place, span = begin, 1
-    least = value
+    value = _grams(data)
+    # The hash's upper bits and the place in one number: of equal ones the first is the least.
+    low = (np.uint64(1) << np.uint64(int(len(value)).bit_length())) - np.uint64(1)
+    least, span = (value & ~low) | np.arange(len(value), dtype=np.uint64), 1
     while span < WINDOWS:
         step = min(span, WINDOWS - span)
-        later = least[step:] < least[:-step]
-        place = np.where(later, place[step:], place[:-step])
-        least = np.where(later, least[step:], least[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(place)]
-    start = np.flatnonzero(np.arange(len(place)) + SPAN <= bounds[1:][text])
+    # Strings that would run over a text's end are none.
+    crossing = np.zeros(len(least) + SPAN + 1, np.int32)
+    np.add.at(crossing, np.maximum(bounds[1:] - SPAN + 1, bounds[:-1]), 1)
+    np.add.at(crossing, bounds[1:], -1)
+    start = np.flatnonzero(np.cumsum(crossing[: len(least)]) == 0)
     if not len(start):
         return np.zeros(0, np.uint64), none, none, none
+    place = (least[start] & low).astype(np.int64)
     fresh = np.ones(len(start), bool)
-    fresh[1:] = (place[start[1:]] != place[start[:-1]]) | (text[start[1:]] != text[start[:-1]])
+    fresh[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(start)) - 1
-    of = text[start[first]]
-    return value[place[start[first]]], of, start[first] - bounds[of], start[last] - bounds[of]
+    of = np.searchsorted(bounds, start[first], "right") - 1
+    return value[place[first]], of, start[first] - bounds[of], start[last] - bounds[of]
 
 
 # -- the index -------------------------------------------------------------------------------
@@ -209,7 +226,7 @@ class RunIndex:
 
 
 def _ranks(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_ = key[order]
     step = np.ones(len(key), np.int64)
     step[1:] = sorted_[1:] != sorted_[:-1]
