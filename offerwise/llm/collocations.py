@@ -74,15 +74,29 @@ def pieces(data: np.ndarray, bounds: np.ndarray):
 
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """`hashes`, a stretch of words at a time: its working memory is many times the bytes."""
+    """A 64-bit hash of each word: of its first and last eight bytes, which are all of a word of
+    up to 16, or of all bytes of a longer one. In parts, as there are eight bytes for each byte."""
+    out = np.empty(len(starts), np.uint64)
     cuts = np.searchsorted(starts, np.arange(HASH_BYTES, len(data), HASH_BYTES))
-    found = []
     for part in np.split(np.arange(len(starts)), cuts):
-        if len(part):
-            at = slice(part[0], part[-1] + 1)
-            base = starts[part[0]]
-            found.append(hashes(data[base : ends[part[-1]]], starts[at] - base, ends[at] - base))
-    return np.concatenate(found or [np.zeros(0, np.uint64)])
+        if not len(part):
+            continue
+        base, stop = starts[part[0]], ends[part[-1]]
+        eight = np.zeros(stop - base + 8, np.uint64)
+        eight[: stop - base] = data[base:stop]
+        for reach in (1, 2, 4):
+            eight[:-reach] |= eight[reach:] << np.uint64(8 * reach)
+        first, size = starts[part] - base, ends[part] - starts[part]
+        bits = (8 * np.minimum(size, 8)).astype(np.uint64)
+        head = eight[first] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - bits))
+        tail = np.where(size > 8, eight[np.maximum(first + size - 8, 0)], np.uint64(0))
+        out[part] = mixed(mixed(head + size.astype(np.uint64) * _STEP) + tail)
+    long = np.flatnonzero(ends - starts > 16)
+    size = ends[long] - starts[long]
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    letters = data[gather(starts[long], size)]
+    out[long] = hashes(letters, bounds[:-1], bounds[1:])
+    return out
 
 
 def _longer(first: np.ndarray, last_word: np.ndarray) -> np.ndarray:
