@@ -3,9 +3,10 @@
 Texts are equal when their SHA-256 is, after lower-casing A-Z. The index has two tables,
 bucketed by the first bytes of the digest: `filters` (one cuckoo filter a shard) and `keys`
 (the stored digests with their number of live documents and the largest key among them).
-A probe that misses its filter is new for certain; a hit is verified against the stored
-keys of its bucket. Deleting the last document of a digest takes its entry out of the
-filter. A filter that overflows is doubled and filled again from its stored keys.
+Documents come in batches. A digest that misses its filter is new for certain and is stored; a
+hit is verified against the stored keys of its bucket and counted there. Deleting the last document of a digest takes its entry out of the
+filter. A filter that overflows is doubled and filled again from its stored keys; an index
+that outgrows its shards is dealt to more, whose filters are made from the stored keys.
 
 Only distinct digests, combined before the shuffle, reach a shard, so groups of copies of
 any size cost a shard one row.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,7 @@ SLOTS = 4
 MAX_KICKS = 200
 FULLEST = 0.9
 KEYS_PER_SHARD = 10_000
+BATCHES = 3
 
 
 class CuckooFilter:
@@ -109,7 +112,7 @@ def filled(digests: np.ndarray, room_for: int) -> CuckooFilter:
 
 @dataclass
 class Index:
-    """Stored tables of the live digests; `shards` is fixed when the index is made."""
+    """Stored tables of the live digests, dealt to `shards`."""
 
     filters: DataFrame  # shard, buckets, marks
     keys: DataFrame  # shard, digest, n, keep
@@ -142,7 +145,7 @@ def _larger(a, b):
     return b if a is None else a if b is None else max(a, b)
 
 
-def _rows(digest: pd.Series) -> np.ndarray:
+def _rows(digest) -> np.ndarray:
     return np.frombuffer(b"".join(digest), np.uint8).reshape(-1, 32)
 
 
@@ -173,8 +176,8 @@ def _changed(index: Index | None, groups: DataFrame, adding: bool) -> Index:
         new = new.set_index("digest")[["n", "keep"]]
         if len(marks):
             seen = CuckooFilter(int(marks["buckets"].iloc[0]), marks["marks"].iloc[0])
-        else:
-            seen = CuckooFilter(CuckooFilter.size_for(len(new)))
+        else:  # a new shard
+            seen = filled(_rows(holds.index), len(holds) + len(new))
         # A miss is new; a hit is verified among the stored keys, as another digest may
         # have left the same mark.
         hit = seen.contains(_rows(new.index)) if len(new) else np.zeros(0, bool)
@@ -223,7 +226,7 @@ def _changed(index: Index | None, groups: DataFrame, adding: bool) -> Index:
 
 
 def empty_index(spark, expected: int, key_type: str = "bigint") -> Index:
-    """An index for about `expected` distinct digests; more only make its shards larger."""
+    """An index for about `expected` distinct digests; it grows as more are inserted."""
     return Index(
         spark.createDataFrame([], "shard int, buckets bigint, marks binary"),
         spark.createDataFrame([], f"shard int, digest binary, n bigint, keep {key_type}"),
@@ -232,7 +235,14 @@ def empty_index(spark, expected: int, key_type: str = "bigint") -> Index:
 
 
 def insert(index: Index, groups: DataFrame) -> Index:
-    """Add documents, given as `grouped` digests."""
+    """Add documents, given as `grouped` digests.
+
+    Where the digests stored and to come could pass KEYS_PER_SHARD a shard, stored keys are
+    dealt anew, and every shard makes its filter from them.
+    """
+    shards = -(-(index.keys.count() + groups.count()) // KEYS_PER_SHARD)
+    if shards > index.shards:
+        index = Index(index.filters.limit(0), _sharded(index.keys.drop("shard"), shards), shards)
     return _changed(index, groups, adding=True)
 
 
@@ -277,16 +287,22 @@ def lookup(index: Index, probes: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, keep_id, group_size, kept and text_sha256 of every row of `docs`.
 
-    All documents are inserted into a new index, then each is looked up in it. Of equal texts
-    the largest key stays; NULL and empty texts are equal. NULL keys never are keep_id unless
-    all of a group are NULL, and are then all kept, since nothing tells them apart. Rows that
-    repeat a key and text are each kept or dropped alike.
+    Documents are inserted into a new index in BATCHES batches: copies of one text come in
+    different ones, and are found as verified hits. Each digest is looked up in the end. Of
+    equal texts the largest key stays; NULL and empty texts are equal. NULL keys never are
+    keep_id unless all of a group are NULL, and are then all kept, since nothing tells them
+    apart. Rows that repeat a key and text are each kept or dropped alike. Very long texts are
+    a digest like others; an empty table gives none.
     """
     prints = store(digests(docs, text, [key]), "exact-digests")
-    groups = store(grouped(prints, key), "exact-groups")
-    index = empty_index(docs.sparkSession, groups.count(), groups.schema["keep"].dataType.simpleString())
-    index = insert(index, groups)
-    found = store(lookup(index, groups), "exact-found")
+    index = empty_index(docs.sparkSession, 0, docs.schema[key].dataType.simpleString())
+    batch = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(BATCHES))
+    seen = []
+    for i in range(BATCHES):
+        seen.append(store(grouped(prints.where(batch == i), key), "exact-groups"))
+        index = insert(index, seen[-1])
+    probes = reduce(DataFrame.unionByName, [groups.select("digest") for groups in seen]).distinct()
+    found = store(lookup(index, probes), "exact-found")
     return attach(prints, found, ["digest"], "n", F.col(key)).select(
         key,
         F.col("keep").alias("keep_id"),

@@ -16,11 +16,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from offerwise.llm.running import running_total
-from offerwise.llm.tables import store
+from offerwise.llm.tables import attach, row_hash, store, unused
+from offerwise.operators.lookup import lookup_left_join
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 COPIES = 2
+# So many sources are broadcast and ranked in one task; more are joined and ranked by shuffle.
+FEW_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -29,38 +32,56 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, copies: int = COPIES) -> DataFrame:
-    """`sizes` (source, source_size; one row a source) with `rank` and `target`.
+def _after(df: DataFrame, order: Sequence[Column], values: dict[str, str], few: bool) -> DataFrame:
+    """`df` with, for each new name, the sum of a column over the rows before each one in `order`."""
+    if few:  # one task holds the sources
+        earlier = W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        zero = {v: F.lit(0).cast(df.schema[v].dataType) for v in values.values()}
+        return df.withColumns(
+            {n: F.coalesce(F.sum(v).over(earlier), zero[v]) for n, v in values.items()}
+        )
+    for name, value in values.items():
+        df = running_total(df, order, value, name, "mix-sources")
+    return df
+
+
+def targets(
+    sizes: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    copies: int = COPIES,
+    few: bool = True,
+) -> DataFrame:
+    """`sizes` (source, source_size; one row a source) with `rank`, `target` and the words of the
+    sources before (`_first`).
 
     Sources by code point, NULL last, weigh `weights` in turn and share `share` of all words.
     A target stops at `copies` times its source; the excess goes to the others by weight. So
     target = min(copies * size, weight * level), with one level for all that sums to the
     budget: sources fill in order of size / weight, and the level is set by the first that
-    does not fill. A single window serves, as this table has one row a source.
+    does not fill. `few` says that the sources fit one task.
     """
     # Spark compares strings by their UTF-8 bytes, that is by code point.
-    ranked = sizes.withColumn(
-        "rank", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    )
+    place = [F.col("source").asc_nulls_last()]
+    sizes = sizes.withColumn("_one", F.lit(1).cast("bigint"))
+    ranked = _after(sizes, place, {"rank": "_one", "_first": "source_size"}, few).drop("_one")
     turn = F.array(*[F.lit(float(w)) for w in weights])
-    cap = (F.col("source_size") * copies).cast("double")
-    filled = (
-        ranked.withColumn("weight", F.element_at(turn, (F.col("rank") % len(weights) + 1).cast("int")))
-        .withColumn("cap", cap)
-        .withColumn("budget", F.sum("source_size").over(W.partitionBy()) * F.lit(float(share)))
+    filled = ranked.withColumns(
+        {
+            "weight": F.element_at(turn, (F.col("rank") % len(weights) + 1).cast("int")),
+            "cap": (F.col("source_size") * copies).cast("double"),
+        }
     )
-    order = W.orderBy(F.col("cap") / F.col("weight"), "rank")
-    earlier = order.rowsBetween(W.unboundedPreceding, -1)
-    level = (F.col("budget") - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0))) / F.sum(
-        "weight"
-    ).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
+    filled = filled if few else store(filled, "mix-sources")
+    all_words, all_weights = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+    budget = F.lit(float(all_words or 0) * float(share))
+    order = [F.col("cap") / F.col("weight"), F.col("rank")]
+    level = (budget - F.col("_filled")) / (F.lit(all_weights) - F.col("_weights"))
+    levels = _after(filled, order, {"_filled": "cap", "_weights": "weight"}, few).withColumn("level", level)
     open_ = F.when(F.col("cap") > F.col("weight") * F.col("level"), F.col("level"))
-    return (
-        filled.withColumn("level", level)
-        .withColumn("level", F.max(open_).over(W.partitionBy()))
-        .withColumn("target", F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))))
-        .select("source", "source_size", "rank", "target")
-    )
+    top = levels.agg(F.max(open_)).first()[0]
+    target = F.col("cap") if top is None else F.least("cap", F.col("weight") * F.lit(top))
+    return filled.select("source", "source_size", "rank", "_first", target.alias("target"))
 
 
 def mixed(
@@ -72,6 +93,7 @@ def mixed(
     text: str = "text",
     source: str = "source",
     seed: int = 42,
+    few_sources: int = FEW_SOURCES,
 ) -> DataFrame:
     """key, size, source_size, target and taken of every row of `docs`.
 
@@ -85,36 +107,30 @@ def mixed(
             F.col(key).alias("key"),
             F.col(source).alias("source"),
             size_of(text).alias("size"),
-            row_hash(docs, seed).alias("shuffle"),
+            row_hash(docs, F.lit(seed)).alias("shuffle"),
         ),
         "mix-sizes",
     )
-    table = store(
-        targets(
-            sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, copies
-        ),
-        "mix-targets",
+    sources = store(
+        sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs")),
+        "mix-sources",
     )
-    # One row a source: as small as the list of sources.
-    joined = sized.join(
-        F.broadcast(table.withColumnRenamed("source", "_source")),
-        F.col("source").eqNullSafe(F.col("_source")),
-        "left",
-    ).drop("_source", "source")
+    few = sources.count() <= few_sources
+    table = store(targets(sources.drop("_docs"), weights, share, copies, few), "mix-targets")
+    if few:
+        named = table.withColumnRenamed("source", "_source")
+        joined = sized.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source")), "left")
+    else:
+        named = lookup_left_join(table, sources.select("source", "_docs"), ["source"])
+        joined = attach(sized, named, ["source"], "_docs", F.col("shuffle")).drop("_docs")
     # Words before a document in all sources, taken in the order (source, shuffle), less those
     # of the sources before: a hot source is spread over as many ranges as its rows need.
-    first = table.select(
-        "rank",
-        F.coalesce(
-            F.sum("source_size").over(W.orderBy("rank").rowsBetween(W.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_first"),
-    )
+    joined = joined.select("key", "size", "shuffle", "source_size", "rank", "_first", "target")
     order = [F.col(c) for c in ("rank", "shuffle", "key", "size")]
     queued = store(
         running_total(joined, order, "size", "_before", "mix-queue")
-        .join(F.broadcast(first), "rank")
-        .withColumn("_before", F.col("_before") - F.col("_first")),
+        .withColumn("_before", F.col("_before") - F.col("_first"))
+        .drop("_first"),
         "mix-queued",
     )
     passes = [
@@ -155,26 +171,24 @@ def mixed(
     )
 
 
-def row_hash(docs: DataFrame, seed: int) -> Column:
-    """Tells rows apart by all their columns; rows that agree in all are interchangeable."""
-    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
-
-
 def mix(docs: DataFrame, key: str = "doc_id", seed: int = 42, **options) -> DataFrame:
     """The documents of the mix, with the columns of `docs`, once for every time taken."""
     shares = mixed(docs, key=key, seed=seed, **options)
+    own, row, first, passes, copy, theirs = (
+        unused(docs, n) for n in ("_own", "_row", "_first", "_passes", "_copy", "_key")
+    )
     # Equal rows would meet each other; they are one row here, taken as often as all of them.
     taken = (
         shares.where("passes > 0")
-        .groupBy(F.col(key).alias("_key"), "_row")
-        .agg(F.sum("passes").cast("int").alias("_passes"))
+        .groupBy(F.col(key).alias(theirs), F.col("_row").alias(row))
+        .agg(F.sum("passes").cast("int").alias(passes))
     )
-    rows = docs.withColumn("_row", row_hash(docs, seed))
-    once = W.partitionBy(key, "_row").orderBy("_row")
+    rows = docs.withColumn(own, row_hash(docs, F.lit(seed)))
+    once = W.partitionBy(key, own).orderBy(own)
     return (
-        rows.join(taken.withColumnRenamed("_row", "_own"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_own")))
-        .withColumn("_first", F.row_number().over(once))
-        .where("_first = 1")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_passes"))))
-        .select(*docs.columns)
+        rows.join(taken, F.col(key).eqNullSafe(F.col(theirs)) & (F.col(own) == F.col(row)))
+        .withColumn(first, F.row_number().over(once))
+        .where(F.col(first) == 1)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(passes))))
+        .select(*[f"`{c}`" for c in docs.columns])
     )

@@ -4,10 +4,6 @@ Two fingerprints that differ in at most 2 bits have a value within 1 bit of both
 distinct fingerprint emits itself and its 64 one-bit variants, the shuffle brings equal
 variants together, and neighbours in a variant's group (65 fingerprints at most) are
 verified and linked. Groups are chained, not paired; links of one group share a component.
-
-Two bits reach only texts that differ in very few shingles. Where a `similarity` is asked for,
-those components and the MinHash bands of the same shingles (see minhash) are groups of
-candidates, and links are the pairs that are at least so similar.
 """
 
 from __future__ import annotations
@@ -22,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from offerwise.llm import minhash, words
+from offerwise.llm import words
 from offerwise.llm.columns import with_results
 from offerwise.llm.components import components
-from offerwise.llm.tables import attach, one_each, store
+from offerwise.llm.tables import attach, one_each, store, unused
 
 BITS = 64
 RADIUS = 2
@@ -82,28 +78,6 @@ def fingerprints(docs: DataFrame, width: int, text: str = "text", keep=None) ->
     return with_results(docs, [text], results, pa.schema([("simhash", pa.int64())]), keep)
 
 
-SKETCHED = pa.schema([("simhash", pa.int64()), ("sketch", pa.binary()), ("bands", pa.list_(pa.int64()))])
-
-
-def sketched(docs: DataFrame, width: int, text: str, keep) -> DataFrame:
-    """`docs` with `simhash`, and the sketch and bands (see minhash) of the same shingles."""
-
-    def results(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, data, bounds in words.blocks(batch.column(0)):
-            made = [
-                (fingerprint(v), minhash.sketch(v), minhash.bands(v))
-                for v in shingles(data, bounds, width)
-            ]
-            columns = [
-                pa.array(np.array([m[0] for m in made], np.uint64).view(np.int64)),
-                pa.array([m[1] for m in made], pa.binary()),
-                pa.array([m[2] for m in made], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=SKETCHED)
-
-    return with_results(docs, [text], results, SKETCHED, keep)
-
-
 def links(nodes: DataFrame, node: str = "simhash", radius: int = RADIUS) -> DataFrame:
     """Pairs (a, b) that connect all distinct values of `node` with `radius` or fewer differing bits.
 
@@ -133,67 +107,40 @@ def _signed(value: int) -> int:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", keep=(),
-    radius: int = RADIUS, similarity: float | None = None,
+    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", keep=(), radius: int = RADIUS
 ) -> DataFrame:
     """`key`, the columns `keep`, simhash and component_id (the smallest key linked, over any number of links).
 
-    Texts are linked by fingerprints within `radius` bits or, with `similarity`, by shingle
-    sets of at least that Jaccard similarity.
-    One row per row of `docs`. NULL and empty texts have fingerprint 0 and are linked like
-    any other; NULL keys are ignored when the smallest is taken, so a component of NULL keys
-    only has component_id NULL. Repeated rows stay and share a component.
+    Texts are linked by fingerprints within `radius` bits. One row per row of `docs`. NULL and
+    empty texts have fingerprint 0 and are linked like any other; NULL keys are ignored when
+    the smallest is taken, so a component of NULL keys only has component_id NULL. Repeated
+    rows stay and share a component. An empty table gives no rows.
     """
+    prints = store(fingerprints(docs, width, text, [key, *keep]), "simhash")
     least = [F.min(key).alias("_low"), F.count(F.lit(1)).alias("_n")]
-    if similarity is None:
-        prints = fingerprints(docs, width, text, [key, *keep]).withColumn("_node", F.col("simhash"))
-        prints = store(prints, "simhash")
-        nodes = store(prints.groupBy("_node").agg(*least), "simhash-nodes")
-        linked = links(nodes, "_node", radius)
-    else:
-        made = sketched(docs, width, text, [key, *keep])
-        prints = store(made.withColumn("_node", F.xxhash64("simhash", "sketch", "bands")), "simhash")
-        content = [F.any_value(c).alias(c) for c in ("simhash", "sketch", "bands")]
-        nodes = store(prints.groupBy("_node").agg(*least, *content), "simhash-nodes")
-        linked = _similar(nodes, radius, similarity)
-    roots = components(linked)
-    rooted = nodes.select("_node", "_low", "_n").join(roots.withColumnRenamed("node", "_node"), "_node", "left")
+    nodes = store(prints.groupBy(F.col("simhash").alias("_node")).agg(*least), "simhash-nodes")
+    roots = components(links(nodes, "_node", radius))
+    rooted = nodes.join(roots.withColumnRenamed("node", "_node"), "_node", "left")
     lows = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("_low").alias("_least"))
     table = store(
         rooted.join(lows, "root", "left").select(
-            "_node", F.coalesce("_least", "_low").alias("component_id"), "_n"
+            F.col("_node").alias("simhash"), F.coalesce("_least", "_low").alias("component_id"), "_n"
         ),
         "simhash-components",
     )
-    prints = prints.drop("sketch", "bands")
-    return attach(prints, table, ["_node"], "_n", F.col(key)).drop("_n", "_node")
-
-
-def _similar(nodes: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links between similar nodes that share a band or a component of fingerprints."""
-    prints = nodes.groupBy("simhash").agg(F.count(F.lit(1)).alias("_n"))
-    close = components(links(prints, "simhash", radius)).select(F.col("node").alias("simhash"), "root")
-    table = store(
-        prints.join(close, "simhash", "left").select("simhash", F.coalesce("root", "simhash").alias("root"), "_n"),
-        "simhash-close",
-    )
-    near = attach(nodes.select("_node", "simhash"), table, ["simhash"], "_n", F.col("_node"))
-    groups = nodes.select(F.col("_node").alias("node"), F.explode("bands").alias("band")).unionByName(
-        near.select(F.col("_node").alias("node"), F.xxhash64("root").alias("band"))
-    )
-    return minhash.links(nodes.withColumnRenamed("_node", "node"), groups, similarity)
+    return attach(prints, table, ["simhash"], "_n", F.col(key)).drop("_n")
 
 
 def without_near_duplicates(
-    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text",
-    radius: int = RADIUS, similarity: float | None = None,
+    docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", radius: int = RADIUS
 ) -> DataFrame:
     """`docs` with one row of each component: that with the smallest key.
 
     Of rows that repeat key and text one stays. Rows with a NULL key stay where all their
-    component has NULL keys.
+    component has NULL keys. Columns may have any names; an empty table gives no rows.
     """
-    marked = docs.withColumn("_print", F.xxhash64(text))
-    found = near_duplicates(marked, width, key, text, ["_print"], radius, similarity)
-    keepers = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(key, "_print")
-    return one_each(marked, keepers, [key, "_print"]).select(*docs.columns)
+    print_ = unused(docs, "_print")
+    marked = docs.withColumn(print_, F.xxhash64(text))
+    found = near_duplicates(marked.select(key, text, print_), width, key, text, [print_], radius)
+    keepers = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(key, print_)
+    return one_each(marked, keepers, [key, print_]).select(*[f"`{c}`" for c in docs.columns])

@@ -9,6 +9,10 @@ Terms are those whose presence makes the label likelier than not, with more evid
 (likelihood ratio against the label's share overall) than the best of as many terms would
 have by chance. Their document frequencies come from all documents. Examples
 with equal vectors are one entry with counts.
+
+A text without any such term is not judged by its silence: it is compared, by all its words,
+with a part of the examples that is indexed by all of theirs (see `Whole`), so that what is
+near a labelled text is found whatever words they share.
 """
 
 from __future__ import annotations
@@ -19,16 +23,52 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from offerwise.llm import words
+from offerwise.llm.blockmax import BlockMaxIndex
 from offerwise.llm.columns import with_results
 
 BLOCK = 64
 PREFIX = 4
+# Texts are as near as they get at this distance.
+NEAR = 0.02
 PREFIXED = np.uint64(0xA24BAED4963EE407)
 
 
+@dataclass
+class Whole:
+    """Examples by all their words: sorted hashes of the words, their idf, and the vectors."""
+
+    terms: np.ndarray
+    idf: np.ndarray
+    index: BlockMaxIndex
+    label: np.ndarray
+    example: np.ndarray
+
+    @staticmethod
+    def of(terms, idf, entries, labels, examples) -> Whole:
+        """From each example's (term numbers, counts)."""
+        # Examples of one language have its most frequent words; blocks shall hold such alike.
+        common = np.argsort(idf, kind="stable")[:24]
+        rank = np.full(len(terms), -1, np.int64)
+        rank[common] = np.arange(len(common))
+        marks = [int((np.int64(1) << rank[t][rank[t] >= 0]).sum()) for t, _ in entries]
+        order = sorted(range(len(entries)), key=lambda i: (marks[i], i))
+        parts = [(np.full(len(entries[i][0]), n), *entries[i]) for n, i in enumerate(order)]
+        none = np.zeros(0, np.int64)
+        vector, term, count = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none,) * 3
+        weight = (1 + np.log(np.maximum(count, 1))) * idf[term]
+        lengths = np.sqrt(np.bincount(vector, weight * weight, len(entries)))
+        index = BlockMaxIndex(vector, term, weight / lengths[vector], len(entries), len(terms))
+        return Whole(terms, idf, index, np.array([labels[i] for i in order], float), np.array([examples[i] for i in order]))
+
+    def near(self, numbers, counts, k: int):
+        weights = (1 + np.log(counts)) * self.idf[numbers]
+        return self.index.nearest(numbers, weights / np.sqrt((weights * weights).sum()), k)
+
+
 @dataclass
 class Index:
     """Distinct example vectors (unit length) as postings by term, with block maxima."""
@@ -43,6 +83,7 @@ class Index:
     base: float
     k: int
     prior: float
+    whole: Whole | None = None
     postings: list = field(default_factory=list)
     maxima: np.ndarray | None = None
 
@@ -94,11 +135,21 @@ class Index:
                     break
         return found
 
-    def score(self, numbers, counts) -> tuple[float, list[int], list[float]]:
-        """(score, keys of near examples, their cosines): cosine-weighted, smoothed votes."""
+    def score_whole(self, numbers, counts) -> tuple[float, list[int], list[float]]:
+        """Like `score`, by all words of a text without any term; NULL-like without words."""
         if not len(numbers):
             positive, total = self.empty
             return (positive + self.prior * self.base) / (total + self.prior), [], []
+        vectors, cosines = self.whole.near(numbers, counts, self.k)
+        # All words make any two texts of a language somewhat alike: votes fall with the square
+        # of the distance, so that those of near texts outweigh the rest.
+        votes = (cosines / (1 - cosines + NEAR)) ** 2
+        hits = float((votes * self.whole.label[vectors]).sum())
+        score = (hits + self.prior * self.base) / (float(votes.sum()) + self.prior)
+        return score, [int(self.whole.example[v]) for v in vectors[:5]], cosines[:5].tolist()
+
+    def score(self, numbers, counts) -> tuple[float, list[int], list[float]]:
+        """(score, keys of near examples, their cosines): cosine-weighted, smoothed votes."""
         found = self.nearest(numbers, counts)
         votes = sum(c * self.total[v] for c, v in found)
         hits = sum(c * self.positive[v] for c, v in found)
@@ -138,12 +189,39 @@ def _counted(terms: np.ndarray, data: np.ndarray, bounds: np.ndarray):
     return pairs // len(terms), pairs % len(terms), counts
 
 
+def _split(text: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> list:
+    cuts = np.searchsorted(text, np.arange(n + 1))
+    return [(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _each(terms: np.ndarray, batch: pa.RecordBatch):
     """Per text of a batch: (term numbers, counts)."""
     for _, data, bounds in words.blocks(batch.column(0)):
-        text, term, count = _counted(terms, data, bounds)
-        cuts = np.searchsorted(text, np.arange(len(bounds)))
-        yield [(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield _split(*_counted(terms, data, bounds), len(bounds) - 1)
+
+
+def _words(data: np.ndarray, bounds: np.ndarray):
+    """(text, hash, count) of the distinct words of a block, by text and hash."""
+    data = words.lowered(data)
+    starts, ends, before = words.spans(data, bounds, letters=True)
+    found = words.hashes(data, starts, ends)
+    texts = np.repeat(np.arange(len(bounds) - 1), np.diff(before))
+    order = np.lexsort((found, texts))
+    found, texts = found[order], texts[order]
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (found[1:] != found[:-1]) | (texts[1:] != texts[:-1])
+    first = np.flatnonzero(fresh)
+    return texts[first], found[first], np.diff(np.append(first, len(found)))
+
+
+def _known_words(terms: np.ndarray, data: np.ndarray, bounds: np.ndarray):
+    """(text, word number, count) of the words that `terms` has, by text and word."""
+    text, found, count = _words(data, bounds)
+    if not len(terms):
+        return text[:0], text[:0], count[:0]
+    at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
+    hit = terms[at] == found
+    return text[hit], at[hit], count[hit]
 
 
 def fit(
@@ -157,11 +235,16 @@ def fit(
     least: int = 5,
     k: int = 25,
     prior: float = 2.0,
+    whole: int = 4096,
+    whole_bytes: int = 32 << 20,
 ) -> Index:
     """Learn from `labelled` (key, label 0/1) the texts of `docs`.
 
     At most `examples` labelled documents (those with the smallest hashed keys) and `terms`
-    terms, in at least `least` examples each, are taken; both bounds hold at any size.
+    terms, in at least `least` examples each, are taken; the first `whole` of them, as far as
+    they have `whole_bytes` bytes, are indexed by all words too. All bounds hold at any size.
+    A key with several texts is learned with each of them, but for all words with the smallest.
+    NULL and empty texts, no labels and empty tables leave an index that gives the base share.
     Labels that are NULL are left out; a key labelled more than once has its largest label.
     """
     rows = (
@@ -226,6 +309,7 @@ def fit(
     bare = [e for e in entries if not e["terms"]]
     entries = [e for e in entries if e["terms"]]
     return Index(
+        whole=_whole(docs, sample, text, all_docs, whole, whole_bytes),
         terms=hashed,
         idf=idf,
         vectors=[(np.array(e["terms"]), np.array(e["counts"])) for e in entries],
@@ -239,6 +323,63 @@ def fit(
     )
 
 
+def _whole(
+    docs: DataFrame, sample: DataFrame, text: str, all_docs: int, most: int, most_bytes: int
+) -> Whole:
+    """The first `most` examples, up to `most_bytes`, by all their words."""
+    one = sample.where(F.octet_length("_text") > 0).groupBy("_key").agg(
+        F.min("_text").alias("_text"), F.max("_label").alias("_label")
+    )
+    # One task ranks the bounded examples by size only; texts are joined after.
+    sizes = one.select("_key", F.octet_length("_text").alias("bytes"), F.xxhash64("_key").alias("place"))
+    order = W.orderBy("place", "_key")
+    ranked = sizes.withColumns(
+        {"n": F.row_number().over(order), "so_far": F.sum("bytes").over(order)}
+    ).where((F.col("n") <= most) & (F.col("so_far") <= most_bytes))
+    chosen = one.join(ranked.select("_key"), "_key")
+    key = sample.schema["_key"].dataType.simpleString()
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, bounds in words.blocks(batch.column(0)):
+                made = _split(*_words(data, bounds), len(bounds) - 1)
+                columns = [
+                    *[batch.column(i).slice(first, len(made)) for i in (1, 2)],
+                    pa.array([m[0].view(np.int64) for m in made], pa.list_(pa.int64())),
+                    pa.array([m[1] for m in made], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "label", "terms", "counts"])
+
+    rows = chosen.select("_text", "_key", "_label").mapInArrow(
+        vectors, f"key {key}, label int, terms array<bigint>, counts array<bigint>"
+    )
+    # Bounded by `most_bytes`.
+    entries = sorted(rows.collect(), key=lambda r: (str(r["key"]),))
+    hashes = [np.array(e["terms"], np.int64).view(np.uint64) for e in entries]
+    terms = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
+    df = np.zeros(len(terms))
+    counted = docs.select(F.col(text)).mapInArrow(_word_frequencies(terms), "term int, n bigint")
+    for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
+        df[r["term"]] = r["n"]
+    idf = np.log((1 + all_docs) / (1 + df)) + 1
+    numbers = [np.searchsorted(terms, h) for h in hashes]
+    pairs = [(n, np.array(e["counts"], np.int64)) for n, e in zip(numbers, entries, strict=True)]
+    return Whole.of(terms, idf, pairs, [e["label"] for e in entries], [e["key"] for e in entries])
+
+
+def _word_frequencies(terms: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for _, data, bounds in words.blocks(batch.column(0)):
+                df += np.bincount(_known_words(terms, data, bounds)[1], minlength=len(terms))
+        some = np.flatnonzero(df)
+        columns = [pa.array(some.astype(np.int32)), pa.array(df[some])]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    return run
+
+
 def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a block with each label hold each word."""
     for batch in batches:
@@ -285,17 +426,24 @@ def scored(docs: DataFrame, index: Index, text: str = "text", keep=None) -> Data
     """`docs` with score (0 to 1), predicted (score >= 0.5), and evidence: the keys of the
     nearest examples and their cosines.
 
-    NULL and empty texts hold no term and get the label's share among such examples. The
-    index is sent to every task; its size is bounded by the limits of `fit`.
+    NULL texts and texts without words get the label's share among examples without terms, no
+    neighbours, and so do all where nothing was learned. Equal texts and repeated rows have
+    equal scores; ties at the last neighbour all vote. Very long texts are read whole. An empty
+    table gives no rows. The index is sent to every task; the limits of `fit` bound its size.
     """
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def results(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = sent.value
         known: dict = {}
-        for part in _each(held.terms, batch):
+        for _, data, bounds in words.blocks(batch.column(0)):
+            part = _split(*_counted(held.terms, data, bounds), len(bounds) - 1)
+            everything = _split(*_known_words(held.whole.terms, data, bounds), len(bounds) - 1)
             made = []
-            for numbers, counts in part:
+            for (numbers, counts), all_words in zip(part, everything, strict=True):
+                if not len(numbers):
+                    made.append(held.score_whole(*all_words))
+                    continue
                 vector = (numbers.tobytes(), counts.tobytes())
                 if vector not in known:
                     if len(known) > 20_000:

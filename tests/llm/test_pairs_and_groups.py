@@ -9,6 +9,8 @@ import pytest
 import xxhash
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from offerwise.llm import components, exact, queries, runindex, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -206,44 +208,65 @@ def test_run_index_matches_brute_force():
             assert mask == got[i]
 
 
-def jaccard(one, other, width=5):
-    a, b = ({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (one, other))
-    return len(a & b) / len(a | b)
-
-
-def test_stage_drops_near_copies_of_similarity_80(spark, docs_of):
-    random = np.random.default_rng(3)
-    rows, pairs = [], []
-    for i in range(120):
-        text = [f"w{x}" for x in random.integers(0, 5000, 400)]
-        copy = list(text)
-        for n, at in enumerate(random.permutation(400), 1):
-            copy[at] = f"new{n}"
-            if jaccard(text, copy) < (0.83, 0.9, 0.95)[i % 3]:
-                copy[at] = text[at]
-                break
-        far = list(text)
-        far[:150] = [f"far{x}" for x in range(150)]  # similarity about 0.45
-        rows += [(10 * i, " ".join(text), None, None), (10 * i + 1, " ".join(copy), None, None), (10 * i + 2, " ".join(far), None, None)]
-        pairs.append(jaccard(text, copy))
-    assert min(pairs) >= 0.83
-    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()}
-    assert {10 * i for i in range(120)} | {10 * i + 2 for i in range(120)} <= left
-    # Estimates have a standard error of 0.0125 at most, so one pair near 0.8 may be judged below it.
-    assert sum(10 * i + 1 in left for i in range(120)) <= 2
-
-
-def test_large_groups_of_near_copies_are_linked(spark, docs_of):
-    random = np.random.default_rng(5)
-    text = [f"w{x}" for x in random.integers(0, 5000, 300)]
-    rows = [(0, " ".join(text), None, None)]
-    for i in range(1, 700):
-        copy = list(text)
-        for at in random.integers(0, 300, 3):
-            copy[at] = f"edit{i}x{at}"
-        rows.append((i, " ".join(copy), None, None))
-    left = corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()
-    assert [r.doc_id for r in left] == [0]
+def test_stage_keeps_one_of_each_component(spark, docs_of, hard):
+    """Near copies, NULL, empty and repeated rows, against fingerprints compared pair by pair."""
+    pick = np.random.default_rng(3)
+    rows = []
+    for i in range(80):
+        text = [f"w{x}" for x in pick.integers(0, 5000, int(pick.integers(1, 900)))]
+        for n in range(4):
+            copy = list(text)
+            if n:
+                copy[int(pick.integers(0, len(copy)))] = f"new{n}"
+            rows.append((1000 + 10 * i + n, " ".join(copy), "en", None))
+    docs = docs_of(rows).unionByName(hard).withColumn("_print", F.lit(1)).withColumn("_copy", F.lit("mine"))
+    prints = [(r.doc_id, r.text, r.simhash % (1 << 64)) for r in simhash.fingerprints(docs, 3).collect()]
+    group = list(range(len(prints)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i][2] ^ prints[j][2]).bit_count() <= 2:
+                group[root(i)] = root(j)
+    keys = {}
+    for i, (key, _, _) in enumerate(prints):
+        keys.setdefault(root(i), []).append(key)
+    wanted = {min((k for k in found if k is not None), default=None) for found in keys.values()}
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = left.collect()
+    assert {r.doc_id for r in kept} == wanted and all(r._copy == "mine" and r._print == 1 for r in kept)
+    assert len(kept) == len({(r.doc_id, r.text) for r in kept}) < len(prints) - 100
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").collect() == []
+
+
+def test_index_grows_past_its_shards(spark, docs_of, monkeypatch):
+    """Ten times the keys: shards are dealt anew from stored keys, and nothing is lost."""
+    monkeypatch.setattr(exact, "KEYS_PER_SHARD", 40)
+    index, shards = exact.empty_index(spark, 40), []
+    for step in (1, 3, 10):
+        rows = [(1000 * step + i, f"text {i}", None, None) for i in range(40 * step)]
+        index = exact.insert(index, exact.grouped(exact.digests(docs_of(rows), keep=["doc_id"]), "doc_id"))
+        shards.append(index.shards)
+    assert shards == sorted(set(shards)) and shards[-1] >= 10
+    probes = exact.digests(docs_of([(0, f"text {i}", None, None) for i in range(450)]))
+    found = exact.lookup(index, probes).groupBy("n").count().collect()
+    assert {r.n: r["count"] for r in found} == {3: 40, 2: 80, 1: 280, None: 50}
+    assert index.filters.count() == index.keys.select("shard").distinct().count()
+
+
+def test_copies_meet_in_the_index(spark, docs_of):
+    """Copies come in different batches, so that their counts and keys are those of hits."""
+    docs = docs_of([(i, f"text {i % 7}", None, None) for i in range(70)])
+    batch = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(exact.BATCHES))
+    parts = docs.groupBy("text").agg(F.count_distinct(batch).alias("batches")).collect()
+    assert min(r.batches for r in parts) > 1
+    rows = exact.exact_duplicates(docs).collect()
+    assert {(r.doc_id % 7, r.keep_id, r.group_size) for r in rows} == {(i, 63 + i, 10) for i in range(7)}
 
 
 def test_radius_of_links(spark):
