@@ -117,6 +117,7 @@ class RunIndex:
         head = np.ones(n, bool)
         head[1:] = before[1:] != before[:-1]
         self.heads = np.flatnonzero(head)
+        self.run_at = (np.cumsum(head) - 1).astype(np.int32)
         self.symbol = before[self.heads].astype(np.int64)
         size = np.diff(np.append(self.heads, n))
         smaller = np.concatenate(([0], np.cumsum(np.bincount(text[:n], minlength=257))))
@@ -159,7 +160,7 @@ class RunIndex:
                 break
             rank = _joined(rank, left, depth)
             depth *= 2
-        return np.argsort(rank, kind="stable"), spanned
+        return _in_order(rank), spanned
 
     def stream(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics of indexed strings: for every place, from each string's end to
@@ -174,7 +175,7 @@ class RunIndex:
             place = self.last[strings[live]] - back - 1
             symbol = self.text[place].astype(np.int64)
             row, held = at[live], matched[live]
-            run = np.searchsorted(self.heads, row, "right") - 1
+            run = self.run_at[row].astype(np.int64)
             off = np.flatnonzero(self.symbol[run] != symbol)
             if len(off):
                 run[off], row[off], held[off] = self._jump(
@@ -225,22 +226,41 @@ class RunIndex:
         return self.least[np.searchsorted(self.cuts, rows, "right") - 1]
 
 
-def _ranks(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key)
-    sorted_ = key[order]
-    step = np.ones(len(key), np.int64)
+def _numbered(order: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Ranks from 1 of keys that are `sorted_` when taken in `order`; equal keys have one."""
+    step = np.ones(len(order), np.int64)
     step[1:] = sorted_[1:] != sorted_[:-1]
-    rank = np.empty(len(key), np.int64)
+    rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(step)
     return rank
 
 
+def _ranks(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    return _numbered(order, key[order])
+
+
+def _in_order(rank: np.ndarray) -> np.ndarray:
+    """Places by rank, those of one rank in order."""
+    bits = np.uint64(int(len(rank)).bit_length())
+    # A sort of numbers that end in their places is much faster than one of places.
+    packed = np.sort(rank.astype(np.uint64) << bits | np.arange(len(rank), dtype=np.uint64))
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
 def _joined(rank: np.ndarray, left: np.ndarray, shift: int) -> np.ndarray:
     """Ranks by what was sorted and, from `shift` on, as much again; ends sort first."""
-    second = np.zeros(len(rank), np.int64)
-    second[: len(rank) - shift] = rank[shift:]
+    n = len(rank)
+    second = np.zeros(n, np.int64)
+    second[: n - shift] = rank[shift:]
     second[left < shift] = 0
-    return _ranks(rank.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64))
+    bits = int(n).bit_length()
+    key = rank.astype(np.uint64) << np.uint64(bits) | second.astype(np.uint64)
+    if 3 * bits > 64:
+        return _ranks(key)
+    packed = np.sort(key << np.uint64(bits) | np.arange(n, dtype=np.uint64))
+    order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return _numbered(order, packed >> np.uint64(bits))
 
 
 def repeated(data: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> np.ndarray:
