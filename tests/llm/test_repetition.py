@@ -160,7 +160,7 @@ def planted(spark, docs_of, hard):
     return docs_of(docs).unionByName(hard), spark.createDataFrame(items, "item_id long, text string"), items
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 8}, {"shingle": 1}, {"shingle": 10}])
+@pytest.mark.parametrize("options", [{}, {"block": 40}, {"shingle": 10}])
 def test_planted_windows(planted, options):
     docs, table, items = planted
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
@@ -238,7 +238,7 @@ def phrases(docs_of, hard):
 
 
 @pytest.mark.parametrize(
-    "options", [{}, {"shards": 1}, {"shards": 7}, {"bits": 3, "shards": 2}, {"least": 3}, {"longest": 2}, {"top": 5}]
+    "options", [{}, {"shards": 5}, {"bits": 3, "shards": 1}, {"least": 3, "longest": 2, "top": 5}]
 )
 def test_phrases(phrases, options):
     rows = [(r.lang, r.text) for r in phrases.select("lang", "text").collect()]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerwise.llm import crf, importance, mixing, neighbours, queries, toxicity, words
+from offerwise.llm import crf, exact, importance, mixing, neighbours, queries, simhash, toxicity, words
 
 SF = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -164,6 +164,58 @@ def test_block_max_search_is_exact():
         assert [v for _, v in index.nearest(numbers, counts)] == wanted
 
 
+def test_many_sources_are_ranked_by_shuffle(spark, docs_of):
+    """The way taken when the sources do not fit one task gives the same mix."""
+    random = np.random.default_rng(2)
+    rows = [
+        (i, "word " * int(random.integers(0, 60)), "en", None if i % 41 == 0 else f"s{int(random.zipf(1.4)) % 90}")
+        for i in range(900)
+    ]
+    docs = docs_of(rows)
+    few = {r.doc_id: tuple(r) for r in mixing.mixed(docs).collect()}
+    many = {r.doc_id: tuple(r) for r in mixing.mixed(docs, few_sources=0).collect()}
+    assert len(few) == 900
+    assert all(many[i][:3] == few[i][:3] and many[i][3] == pytest.approx(few[i][3]) for i in few)
+    assert sum(many[i][4] != few[i][4] for i in few) <= 1
+    assert mixing.mixed(docs.limit(0), few_sources=0).collect() == []
+
+
+def test_words_taken_follow_the_finish_times(spark, docs_of):
+    """The mix against plain weighted fair queueing over the shuffled queues."""
+    random = np.random.default_rng(7)
+    docs = docs_of([(i, "w " * int(random.integers(0, 30)), "en", "abc"[int(random.integers(0, 3))]) for i in range(200)])
+    rows = mixing.mixed(docs).collect()
+    line = []
+    for source in {r.source_size for r in rows}:
+        queue = sorted((r for r in rows if r.source_size == source), key=lambda r: (r._row, r.doc_id))
+        served = 0
+        for turn in range(2):
+            for r in queue:
+                served += r["size"]
+                if r["size"]:
+                    line.append((served / r.target, turn, r.doc_id, r["size"]))
+    budget, taken = sum({r.source_size: r.target for r in rows}.values()), {}
+    spent = 0
+    for _, _, doc, size in sorted(line):
+        if spent + size > budget + 0.5:
+            break
+        spent += size
+        taken[doc] = taken.get(doc, 0) + size
+    assert {r.doc_id: r.taken for r in rows if r.taken} == taken
+
+
+def test_columns_of_any_name_and_kind_are_kept(spark, docs_of):
+    docs = docs_of([(i % 7, f"text {i % 5}", "en", "a") for i in range(30)])
+    for name in ("_row", "_first", "_copy", "_key", "_passes", "_own", "_doc_id", "_print"):
+        docs = docs.withColumn(name, F.concat(F.lit("mine "), F.col("doc_id")))
+    docs = docs.withColumn("map", F.create_map(F.lit("k"), F.col("doc_id")))
+    for made in (mixing.mix(docs), exact.without_duplicates(docs), simhash.without_near_duplicates(docs)):
+        assert made.columns == docs.columns
+        got = made.collect()
+        assert got and all(r._row == r._own == r._copy == r._print == f"mine {r.doc_id}" for r in got)
+        assert all(r.map == {"k": r.doc_id} for r in got)
+
+
 def test_all_words_are_searched_exactly():
     random = np.random.default_rng(8)
     for n, n_terms in ((1, 5), (63, 30), (700, 300)):
