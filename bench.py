@@ -25,6 +25,8 @@ HEADLINE = [
     "q_purchase_sequence_ltv",
     "q_customer_action",
     "q_mart",
+    "q_mart_incremental",
+    "q_mart_bucketed",
     "q_class_distribution",
     "q_stratified_split",
     "q_expected_value",
@@ -35,6 +37,11 @@ HEADLINE = [
     "q_strategy_comparison",
     "q_alpha_sensitivity_static",
     "q_alpha_sensitivity_rescored",
+    "q_alpha_envelope_rescored",
+    "q_alpha_envelope_fine",
+    "q_monotone_offers",
+    "q_calibrated_fixed_offers",
+    "q_attribution_reasons",
     "q_elasticity_curve",
     "q_class_report",
     "q_partial_dependence",

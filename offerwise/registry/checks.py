@@ -149,7 +149,7 @@ def q_retrained_faults(spark, sf_dir):
 
 @check
 def q_audit_faults(spark, sf_dir):
-    curve = audit.constraint_audit(inputs.mart(spark, sf_dir), points=8)
+    curve = audit.constraint_audit(inputs.mart(spark, sf_dir))
     constrained = audit.falling_steps(curve.where("model = 'constrained'"))
     return constrained.select("model", "falling_steps")
 
@@ -215,6 +215,47 @@ def q_search_faults(spark, sf_dir):
     ).join(rows.agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
 
 
+@check
+def q_forest_search_faults(spark, sf_dir):
+    """Two draws of the forests' search space, each fitted and judged on all folds."""
+    rows = inputs.cohort(spark, sf_dir)
+    best, results = tune(rows, FEATURES, Learner("forest"), draws=2)
+    space = SEARCH_SPACE["forest"]
+    outside = sum(v not in space[k] for s, _ in results for k, v in s.items())
+    least = min(loss for _, loss in results)
+    chosen = next(loss for s, loss in results if s.items() <= best.params.items())
+    return spark.createDataFrame(
+        [(len(results), outside, int(chosen > least))], "draws int, outside_space int, better_than_chosen int"
+    ).join(rows.agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
+
+
+@check
+def q_train_faults(spark, sf_dir):
+    """A full training run: settings drawn, a better one than that chosen, and averages of the
+    report that do not follow from its classes."""
+    run = inputs.training_run(spark, sf_dir)
+    report = {r["class"]: r for r in run.report.collect()}
+    classes = [report[c] for c in metrics.OUTCOME_NAMES]
+    total = sum(r.support for r in classes)
+    off = 0
+    for name in ("precision", "recall", "f1"):
+        off += abs(report["macro avg"][name] - sum(r[name] for r in classes) / 3) > 1e-9
+        weighted = sum(r[name] * r.support for r in classes) / total
+        off += abs(report["weighted avg"][name] - weighted) > 1e-9
+    off += abs(report["accuracy"].recall - report["weighted avg"].recall) > 1e-9
+    least = min(loss for _, loss in run.search)
+    chosen = next(loss for s, loss in run.search if s.items() <= run.learner.params.items())
+    counted = inputs.cohort(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.withColumns(
+        {
+            "draws": F.lit(len(run.search)),
+            "better_than_chosen": F.lit(int(chosen > least)),
+            "averages_off": F.lit(int(off)),
+            "supports_off": F.lit(int(total != report["accuracy"].support)),
+        }
+    )
+
+
 @check
 def q_train_supports(spark, sf_dir):
     """Unseen rows of each outcome in the report of a full training run."""
