@@ -215,20 +215,6 @@ def q_search_faults(spark, sf_dir):
     ).join(rows.agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
 
 
-@check
-def q_forest_search_faults(spark, sf_dir):
-    """Two draws of the forests' search space, each fitted and judged on all folds."""
-    rows = inputs.cohort(spark, sf_dir)
-    best, results = tune(rows, FEATURES, Learner("forest"), draws=2)
-    space = SEARCH_SPACE["forest"]
-    outside = sum(v not in space[k] for s, _ in results for k, v in s.items())
-    least = min(loss for _, loss in results)
-    chosen = next(loss for s, loss in results if s.items() <= best.params.items())
-    return spark.createDataFrame(
-        [(len(results), outside, int(chosen > least))], "draws int, outside_space int, better_than_chosen int"
-    ).join(rows.agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
-
-
 @check
 def q_train_faults(spark, sf_dir):
     """A full training run: settings drawn, a better one than that chosen, and averages of the

@@ -1027,9 +1027,6 @@ ORACLES |= {
         for i in range(20)
     )
     + " from customer)",
-    "q_forest_search_faults": _sql(
-        "select 2 as draws, 0 as outside_space, 0 as better_than_chosen, count(*) as rows from cohort", "cohort"
-    ),
     "q_train_faults": _sql(
         """select count(*) as rows, 15 as draws, 0 as better_than_chosen, 0 as averages_off, 0 as supports_off
            from cohort""",
