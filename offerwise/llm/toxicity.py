@@ -9,6 +9,11 @@ Terms are those whose presence makes the label likelier than not, with more evid
 (likelihood ratio against the label's share overall) than the best of as many terms would
 have by chance. Their document frequencies come from all documents. Examples
 with equal vectors are one entry with counts.
+
+A text without any such term is not judged by its silence: it is compared, by all its words,
+with a part of the examples that is indexed by all of theirs (see `Whole`), so that what is
+near a labelled text is found whatever words they share. Near is a cosine of at least `near`
+(0.5): below it lies whatever shares a language, and no bound could rule blocks out.
 """
 
 from __future__ import annotations
@@ -19,16 +24,62 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from offerwise.llm import words
+from offerwise.llm.blockmax import BlockMaxIndex
 from offerwise.llm.columns import with_results
 
 BLOCK = 64
 PREFIX = 4
+# Texts are as near as they get at this distance.
+NEAR = 0.02
 PREFIXED = np.uint64(0xA24BAED4963EE407)
 
 
+@dataclass
+class Whole:
+    """Examples by all their words: sorted hashes of the words, their idf, and the vectors."""
+
+    terms: np.ndarray
+    idf: np.ndarray
+    index: BlockMaxIndex
+    label: np.ndarray
+    vote: np.ndarray  # of how many examples each stands
+    example: np.ndarray
+    unseen: float  # idf of a word that no example has
+
+    @staticmethod
+    def of(terms, idf, entries, labels, examples, votes=None, unseen=0.0) -> Whole:
+        """From each example's (term numbers, counts)."""
+        # Examples of one language have its most frequent words; blocks shall hold such alike.
+        common = np.argsort(idf, kind="stable")[:24]
+        rank = np.full(len(terms), -1, np.int64)
+        rank[common] = np.arange(len(common))
+        marks = [int((np.int64(1) << rank[t][rank[t] >= 0]).sum()) for t, _ in entries]
+        order = sorted(range(len(entries)), key=lambda i: (marks[i], i))
+        parts = [(np.full(len(entries[i][0]), n), *entries[i]) for n, i in enumerate(order)]
+        none = np.zeros(0, np.int64)
+        vector, term, count = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none,) * 3
+        weight = (1 + np.log(np.maximum(count, 1))) * idf[term]
+        lengths = np.sqrt(np.bincount(vector, weight * weight, len(entries)))
+        index = BlockMaxIndex(vector, term, weight / lengths[vector], len(entries), len(terms))
+        votes = np.ones(len(entries)) if votes is None else votes
+        return Whole(
+            terms, idf, index, *(np.array([x[i] for i in order], float) for x in (labels, votes)),
+            np.array([examples[i] for i in order]), unseen,
+        )
+
+    def near(self, numbers, counts, k: int, others=(), least: float = 0.0):
+        """The k nearest examples of cosine `least` or more; `others`: counts of the words
+        that no example has, which only make the text longer."""
+        weights = (1 + np.log(counts)) * self.idf[numbers]
+        rest = (1 + np.log(others)) * self.unseen if len(others) else np.zeros(0)
+        length = np.sqrt((weights * weights).sum() + (rest * rest).sum())
+        return self.index.nearest(numbers, weights / length, k, least)
+
+
 @dataclass
 class Index:
     """Distinct example vectors (unit length) as postings by term, with block maxima."""
@@ -43,6 +94,8 @@ class Index:
     base: float
     k: int
     prior: float
+    whole: Whole | None = None
+    near: float = 0.5
     postings: list = field(default_factory=list)
     maxima: np.ndarray | None = None
 
@@ -94,11 +147,21 @@ class Index:
                     break
         return found
 
-    def score(self, numbers, counts) -> tuple[float, list[int], list[float]]:
-        """(score, keys of near examples, their cosines): cosine-weighted, smoothed votes."""
-        if not len(numbers):
+    def score_whole(self, numbers, counts, others) -> tuple[float, list[int], list[float]]:
+        """Like `score`, by all words of a text without any term; without a near example, the
+        label's share among examples without terms."""
+        vectors, cosines = self.whole.near(numbers, counts, self.k, others, self.near)
+        if not len(vectors):
             positive, total = self.empty
             return (positive + self.prior * self.base) / (total + self.prior), [], []
+        # Votes fall with the square of the distance, so that near copies outweigh the rest.
+        votes = self.whole.vote[vectors] * (cosines / (1 - cosines + NEAR)) ** 2
+        hits = float((votes * self.whole.label[vectors]).sum())
+        score = (hits + self.prior * self.base) / (float(votes.sum()) + self.prior)
+        return score, [int(self.whole.example[v]) for v in vectors[:5]], cosines[:5].tolist()
+
+    def score(self, numbers, counts) -> tuple[float, list[int], list[float]]:
+        """(score, keys of near examples, their cosines): cosine-weighted, smoothed votes."""
         found = self.nearest(numbers, counts)
         votes = sum(c * self.total[v] for c, v in found)
         hits = sum(c * self.positive[v] for c, v in found)
@@ -109,7 +172,8 @@ class Index:
 
 def _terms(data: np.ndarray, bounds: np.ndarray):
     """(text, hash) of every term in a block: each word in lower case, and its first
-    PREFIX bytes if it is longer, so that forms of a word that were not learned count too."""
+    PREFIX bytes if it is longer, so that forms of a word that were not learned count too.
+    Words come first; the third result is their number."""
     data = words.lowered(data)
     starts, ends, before = words.spans(data, bounds, letters=True)
     long_ = np.flatnonzero(ends - starts > PREFIX)
@@ -118,12 +182,11 @@ def _terms(data: np.ndarray, bounds: np.ndarray):
     )
     found[len(starts) :] ^= PREFIXED
     texts = np.repeat(np.arange(len(bounds) - 1), np.diff(before))
-    return np.append(texts, texts[long_]), found
+    return np.append(texts, texts[long_]), found, len(starts)
 
 
-def _counted(terms: np.ndarray, data: np.ndarray, bounds: np.ndarray):
-    """(text, term, count) triples of the terms in a block, by text and term."""
-    texts, found = _terms(data, bounds)
+def _counted(terms: np.ndarray, texts: np.ndarray, found: np.ndarray):
+    """(text, term, count) triples of the terms among (text, hash), by text and term."""
     if not len(found) or not len(terms):
         return (np.zeros(0, np.int64),) * 3
     # Most words are no term: a table by the lowest bits turns them away first.
@@ -138,12 +201,34 @@ def _counted(terms: np.ndarray, data: np.ndarray, bounds: np.ndarray):
     return pairs // len(terms), pairs % len(terms), counts
 
 
+def _split(text: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> list:
+    cuts = np.searchsorted(text, np.arange(n + 1))
+    return [(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _each(terms: np.ndarray, batch: pa.RecordBatch):
     """Per text of a batch: (term numbers, counts)."""
     for _, data, bounds in words.blocks(batch.column(0)):
-        text, term, count = _counted(terms, data, bounds)
-        cuts = np.searchsorted(text, np.arange(len(bounds)))
-        yield [(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield _split(*_counted(terms, *_terms(data, bounds)[:2]), len(bounds) - 1)
+
+
+def _words(texts: np.ndarray, found: np.ndarray):
+    """(text, hash, count) of the distinct words among (text, hash), by text and hash."""
+    order = np.lexsort((found, texts))
+    found, texts = found[order], texts[order]
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (found[1:] != found[:-1]) | (texts[1:] != texts[:-1])
+    first = np.flatnonzero(fresh)
+    return texts[first], found[first], np.diff(np.append(first, len(found)))
+
+
+def _known_words(terms: np.ndarray, texts: np.ndarray, found: np.ndarray):
+    """(text, word number, count) of distinct words, by text and word; -1: not in `terms`."""
+    text, found, count = _words(texts, found)
+    if not len(terms):
+        return text, np.full(len(text), -1), count
+    at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
+    return text, np.where(terms[at] == found, at, -1), count
 
 
 def fit(
@@ -157,11 +242,18 @@ def fit(
     least: int = 5,
     k: int = 25,
     prior: float = 2.0,
+    whole: int = 4096,
+    whole_bytes: int = 32 << 20,
+    near: float = 0.5,
 ) -> Index:
     """Learn from `labelled` (key, label 0/1) the texts of `docs`.
 
     At most `examples` labelled documents (those with the smallest hashed keys) and `terms`
-    terms, in at least `least` examples each, are taken; both bounds hold at any size.
+    terms, in at least `least` examples each, are taken; `whole` of them, evenly by label and as
+    far as they have `whole_bytes` bytes, are indexed by all words too, where texts of cosine
+    `near` or more are neighbours. All bounds hold at any size. A key with several texts is
+    learned with the smallest of them.
+    NULL and empty texts, no labels and empty tables leave an index that gives the base share.
     Labels that are NULL are left out; a key labelled more than once has its largest label.
     """
     rows = (
@@ -175,8 +267,12 @@ def fit(
     chosen = docs.sparkSession.createDataFrame(
         [tuple(r) for r in rows.collect()], rows.schema  # bounded by `examples`
     )
-    sample = docs.join(F.broadcast(chosen), docs[key] == chosen["_key"]).select(
-        F.col(text).alias("_text"), "_key", "_label"
+    # A text a key: rows that repeat a key do not add to what is learned and gathered.
+    sample = (
+        docs.join(F.broadcast(chosen), docs[key] == chosen["_key"])
+        .groupBy("_key")
+        .agg(F.min(text).alias("_text"), F.max("_label").alias("_label"))
+        .select("_text", "_key", "_label")
     )
     totals = {r[0]: r[1] for r in chosen.groupBy("_label").count().collect()}
     positive, count = totals.get(1, 0), sum(totals.values())
@@ -226,6 +322,8 @@ def fit(
     bare = [e for e in entries if not e["terms"]]
     entries = [e for e in entries if e["terms"]]
     return Index(
+        near=near,
+        whole=_whole(docs, sample, text, all_docs, whole, whole_bytes),
         terms=hashed,
         idf=idf,
         vectors=[(np.array(e["terms"]), np.array(e["counts"])) for e in entries],
@@ -239,12 +337,86 @@ def fit(
     )
 
 
+def _whole(
+    docs: DataFrame, sample: DataFrame, text: str, all_docs: int, most: int, most_bytes: int
+) -> Whole:
+    """`most` examples, as many of each label while there are, up to `most_bytes`, by all their
+    words. Each votes for as many as its label has among the examples for one taken."""
+    one = sample.where(F.octet_length("_text") > 0)
+    # One task ranks the bounded examples by size only; texts are joined after.
+    sizes = one.select(
+        "_key", "_label", F.octet_length("_text").alias("bytes"), F.xxhash64("_key").alias("place")
+    )
+    turn = F.row_number().over(W.partitionBy("_label").orderBy("place", "_key"))
+    of_label = F.count(F.lit(1)).over(W.partitionBy("_label"))
+    order = W.orderBy("turn", "_label")
+    ranked = (
+        sizes.select("_key", "bytes", "_label", turn.alias("turn"), of_label.alias("of_label"))
+        .withColumns({"n": F.row_number().over(order), "so_far": F.sum("bytes").over(order)})
+        .where((F.col("n") <= most) & (F.col("so_far") <= most_bytes))
+        .select("_key", "of_label")
+    )
+    key = sample.schema["_key"].dataType.simpleString()
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, bounds in words.blocks(batch.column(0)):
+                texts, found, n = _terms(data, bounds)
+                made = _split(*_words(texts[:n], found[:n]), len(bounds) - 1)
+                columns = [
+                    *[batch.column(i).slice(first, len(made)) for i in (1, 2, 3)],
+                    pa.array([m[0].view(np.int64) for m in made], pa.list_(pa.int64())),
+                    pa.array([m[1] for m in made], pa.list_(pa.int64())),
+                ]
+                names = ["key", "label", "of_label", "terms", "counts"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rows = one.join(ranked, "_key").select("_text", "_key", "_label", "of_label").mapInArrow(
+        vectors, f"key {key}, label int, of_label bigint, terms array<bigint>, counts array<bigint>"
+    )
+    # Bounded by `most_bytes`; as Arrow, since rows of Python numbers take ten times the room.
+    got = rows.toArrow()
+    keys = got["key"].to_pylist()
+    at = sorted(range(len(keys)), key=lambda i: str(keys[i]))
+    hashes = [got["terms"][i].values.to_numpy().view(np.uint64) for i in at]
+    counts = [got["counts"][i].values.to_numpy() for i in at]
+    labels = got["label"].to_numpy()[at].astype(int)
+    taken = np.bincount(labels, minlength=2)
+    votes = got["of_label"].to_numpy()[at] / taken[labels]
+    votes = votes / (votes.min() if len(votes) else 1)
+    terms = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
+    df = np.zeros(len(terms))
+    counted = docs.select(F.col(text)).mapInArrow(_word_frequencies(terms), "term int, n bigint")
+    sums = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df[sums["term"].to_numpy()] = sums["n"].to_numpy()
+    idf = np.log((1 + all_docs) / (1 + df)) + 1
+    unseen = float(np.log((1 + all_docs) / 2) + 1)
+    numbers = [np.searchsorted(terms, h) for h in hashes]
+    pairs = list(zip(numbers, counts, strict=True))
+    return Whole.of(terms, idf, pairs, labels, [keys[i] for i in at], votes, unseen)
+
+
+def _word_frequencies(terms: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for _, data, bounds in words.blocks(batch.column(0)):
+                texts, found, n = _terms(data, bounds)
+                number = _known_words(terms, texts[:n], found[:n])[1]
+                df += np.bincount(number[number >= 0], minlength=len(terms))
+        some = np.flatnonzero(df)
+        columns = [pa.array(some.astype(np.int32)), pa.array(df[some])]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    return run
+
+
 def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a block with each label hold each word."""
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         for first, data, bounds in words.blocks(batch.column(0)):
-            texts, found = _terms(data, bounds)
+            texts, found, _ = _terms(data, bounds)
             order = np.lexsort((found, texts))
             found, texts = found[order], texts[order]
             fresh = np.ones(len(found), bool)
@@ -262,7 +434,7 @@ def _frequencies(terms: np.ndarray):
         for batch in batches:
             total += batch.num_rows
             for _, data, bounds in words.blocks(batch.column(0)):
-                _, term, _ = _counted(terms, data, bounds)
+                _, term, _ = _counted(terms, *_terms(data, bounds)[:2])
                 df += np.bincount(term, minlength=len(terms))[: len(terms)]
         numbers = np.append(np.arange(len(terms)), -1).astype(np.int32)
         columns = [pa.array(numbers), pa.array(np.append(df, total))]
@@ -285,17 +457,30 @@ def scored(docs: DataFrame, index: Index, text: str = "text", keep=None) -> Data
     """`docs` with score (0 to 1), predicted (score >= 0.5), and evidence: the keys of the
     nearest examples and their cosines.
 
-    NULL and empty texts hold no term and get the label's share among such examples. The
-    index is sent to every task; its size is bounded by the limits of `fit`.
+    NULL texts and texts without words get the label's share among examples without terms, no
+    neighbours, and so do all where nothing was learned. Equal texts and repeated rows have
+    equal scores; ties at the last neighbour all vote. Very long texts are read whole. An empty
+    table gives no rows. The index is sent to every task; the limits of `fit` bound its size.
     """
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def results(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = sent.value
         known: dict = {}
-        for part in _each(held.terms, batch):
+        for _, data, bounds in words.blocks(batch.column(0)):
+            texts, found, n = _terms(data, bounds)
+            part = _split(*_counted(held.terms, texts, found), len(bounds) - 1)
+            bare = np.array([not len(p[0]) for p in part], bool)
+            rest = np.flatnonzero(bare[texts[:n]])
+            everything = _split(
+                *_known_words(held.whole.terms, texts[rest], found[rest]), len(bounds) - 1
+            )
             made = []
-            for numbers, counts in part:
+            for (numbers, counts), (every, times) in zip(part, everything, strict=True):
+                if not len(numbers):
+                    seen = every >= 0
+                    made.append(held.score_whole(every[seen], times[seen], times[~seen]))
+                    continue
                 vector = (numbers.tobytes(), counts.tobytes())
                 if vector not in known:
                     if len(known) > 20_000:

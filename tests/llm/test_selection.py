@@ -214,6 +214,68 @@ def test_columns_of_any_name_and_kind_are_kept(spark, docs_of):
         assert all(r.map == {"k": r.doc_id} for r in got)
 
 
+def test_all_words_are_searched_exactly():
+    random = np.random.default_rng(8)
+    for n, n_terms in ((1, 5), (63, 30), (700, 300)):
+        entries = []
+        for _ in range(n):
+            numbers = np.unique(random.zipf(1.3, random.integers(1, 40)) % n_terms)
+            entries.append((numbers, random.integers(1, 5, len(numbers))))
+        idf = random.uniform(1, 5, n_terms)
+        whole = toxicity.Whole.of(np.arange(n_terms, dtype=np.uint64), idf, entries, [0] * n, list(range(n)))
+        dense = np.zeros((n, n_terms))
+        for row, i in enumerate(whole.example):
+            numbers, counts = entries[i]
+            dense[row, numbers] = (1 + np.log(counts)) * idf[numbers]
+        dense /= np.sqrt((dense**2).sum(1))[:, None]
+        for numbers, counts in entries[::11]:
+            query = np.zeros(n_terms)
+            query[numbers] = (1 + np.log(counts)) * idf[numbers]
+            cosines = np.round(dense @ (query / np.sqrt((query**2).sum())), 9)
+            order = np.lexsort((np.arange(n), -cosines))
+            order = order[cosines[order] > 0]
+            least = cosines[order[min(9, len(order)) - 1]]
+            found, cosine = whole.near(numbers, counts, 9)
+            wanted = order[cosines[order] >= least]
+            assert sorted(np.round(cosine, 7)) == sorted(np.round(cosines[wanted], 7))
+            assert set(found) == set(wanted) or np.allclose(cosines[found], cosines[wanted])
+            # With a bound below, and words of the text that no example has.
+            found, cosine = whole.near(numbers, counts, 9, least=0.4)
+            assert set(found) == {i for i in wanted if cosines[i] >= 0.4}
+            whole.unseen = 6.0
+            _, less = whole.near(numbers, counts, 9, np.array([2, 1]))
+            rest = 36 * ((1 + np.log(2)) ** 2 + 1)
+            shorter = np.sqrt((query**2).sum() / ((query**2).sum() + rest))
+            assert np.allclose(sorted(less), sorted(cosines[wanted] * shorter), atol=1e-8)
+
+
+def test_toxic_text_without_an_indicator_is_found(spark, docs_of):
+    """Labelled texts share no telling word; a near copy of one has its label."""
+    random = np.random.default_rng(6)
+
+    def word(x):
+        return "".join(chr(97 + int(c)) for c in str(x))  # digits are no letters
+
+    texts = [" ".join(word(x) for x in random.zipf(1.2, 120) % 4000) for _ in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, label int")
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    for i, text in enumerate(texts):
+        words_ = text.split()
+        words_[int(random.integers(0, 120))] = "changed"
+        rows.append((1000 + i, " ".join(words_).upper(), None, None))
+    docs = docs_of(rows)
+    index = toxicity.fit(docs, labels)
+    assert not len(index.terms)
+    got = {r.doc_id: r for r in toxicity.scored(docs, index).collect()}
+    wrong = [i for i in range(120) if got[1000 + i].predicted != int(i % 4 == 0)]
+    assert wrong == []
+    assert all(got[1000 + i].neighbours[0] == i and got[1000 + i].cosines[0] > 0.8 for i in range(120))
+    # Both bounds hold.
+    few = toxicity.fit(docs, labels, whole=50)
+    assert few.whole.index.n == 50
+    assert toxicity.fit(docs, labels, whole_bytes=3000).whole.index.n in range(1, 12)
+
+
 def test_toxicity_hard(spark, hard):
     labels = spark.createDataFrame([(4, 1), (7, 0), (7, None), (None, 1), (99, 1)], "doc_id bigint, label int")
     got = toxicity.scored(hard, toxicity.fit(hard, labels)).collect()
