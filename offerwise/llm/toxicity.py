@@ -13,7 +13,9 @@ with equal vectors are one entry with counts.
 A text without any such term is not judged by its silence: it is compared, by all its words,
 with a part of the examples that is indexed by all of theirs (see `Whole`), so that what is
 near a labelled text is found whatever words they share. Near is a cosine of at least `near`
-(0.5): below it lies whatever shares a language, and no bound could rule blocks out.
+(0.5): below it lies whatever shares a language, and no bound could rule blocks out. How much
+the label of a near text says is learned too: the weight of the prior in these votes is the
+one under which examples without a term, each judged by the others, are likeliest.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ BLOCK = 64
 PREFIX = 4
 # Texts are as near as they get at this distance.
 NEAR = 0.02
+PRIORS = [2.0 * 4**i for i in range(8)]
 PREFIXED = np.uint64(0xA24BAED4963EE407)
 
 
@@ -49,6 +52,7 @@ class Whole:
     vote: np.ndarray  # of how many examples each stands
     example: np.ndarray
     unseen: float  # idf of a word that no example has
+    prior: float = 2.0  # votes that the label's share among texts without a term counts for
 
     @staticmethod
     def of(terms, idf, entries, labels, examples, votes=None, unseen=0.0) -> Whole:
@@ -71,6 +75,31 @@ class Whole:
             np.array([examples[i] for i in order]), unseen,
         )
 
+    def votes(self, vectors, cosines) -> tuple[float, float]:
+        """(for the label, in all). They fall with the square of the distance, so that near
+        copies outweigh the rest."""
+        votes = self.vote[vectors] * (cosines / (1 - cosines + NEAR)) ** 2
+        return float((votes * self.label[vectors]).sum()), float(votes.sum())
+
+    def learn_prior(self, entries, bare, share: float, k: int, least: float) -> None:
+        """Choose `prior` by the log loss of the examples in `bare`, each judged by the others."""
+        number = {key: i for i, key in enumerate(self.example.tolist())}
+        judged = []
+        for key in bare:
+            own = number[key]
+            vectors, cosines = self.near(*entries[key], k + 1, least=least)
+            others = vectors != own
+            if others.any():
+                judged.append((*self.votes(vectors[others], cosines[others]), self.label[own], self.vote[own]))
+        if not judged:
+            return
+        hits, votes, label, weight = np.array(judged).T
+        losses = []
+        for prior in PRIORS:
+            score = np.clip((hits + prior * share) / (votes + prior), 1e-9, 1 - 1e-9)
+            losses.append(-(weight * np.where(label == 1, np.log(score), np.log(1 - score))).sum())
+        self.prior = PRIORS[int(np.argmin(losses))]
+
     def near(self, numbers, counts, k: int, others=(), least: float = 0.0):
         """The k nearest examples of cosine `least` or more; `others`: counts of the words
         that no example has, which only make the text longer."""
@@ -150,16 +179,19 @@ class Index:
     def score_whole(self, numbers, counts, others) -> tuple[float, list[int], list[float]]:
         """Like `score`, by all words of a text without any term; without a near example, the
         label's share among examples without terms."""
+        share = self.bare_share()
         vectors, cosines = self.whole.near(numbers, counts, self.k, others, self.near)
         if not len(vectors):
-            positive, total = self.empty
-            return (positive + self.prior * self.base) / (total + self.prior), [], []
-        # Votes fall with the square of the distance, so that near copies outweigh the rest.
-        votes = self.whole.vote[vectors] * (cosines / (1 - cosines + NEAR)) ** 2
-        hits = float((votes * self.whole.label[vectors]).sum())
-        score = (hits + self.prior * self.base) / (float(votes.sum()) + self.prior)
+            return share, [], []
+        hits, votes = self.whole.votes(vectors, cosines)
+        score = (hits + self.whole.prior * share) / (votes + self.whole.prior)
         return score, [int(self.whole.example[v]) for v in vectors[:5]], cosines[:5].tolist()
 
+    def bare_share(self) -> float:
+        """The label's share among examples without a term, smoothed."""
+        positive, total = self.empty
+        return (positive + self.prior * self.base) / (total + self.prior)
+
     def score(self, numbers, counts) -> tuple[float, list[int], list[float]]:
         """(score, keys of near examples, their cosines): cosine-weighted, smoothed votes."""
         found = self.nearest(numbers, counts)
@@ -321,9 +353,7 @@ def fit(
     entries = distinct.orderBy("terms", "counts").collect()  # bounded by `examples`
     bare = [e for e in entries if not e["terms"]]
     entries = [e for e in entries if e["terms"]]
-    return Index(
-        near=near,
-        whole=_whole(docs, sample, text, all_docs, whole, whole_bytes),
+    index = Index(
         terms=hashed,
         idf=idf,
         vectors=[(np.array(e["terms"]), np.array(e["counts"])) for e in entries],
@@ -334,14 +364,19 @@ def fit(
         base=base,
         k=k,
         prior=prior,
+        near=near,
     )
+    index.whole, vectors_of, without = _whole(docs, sample, text, hashed, all_docs, whole, whole_bytes)
+    index.whole.learn_prior(vectors_of, without, index.bare_share(), k, near)
+    return index
 
 
 def _whole(
-    docs: DataFrame, sample: DataFrame, text: str, all_docs: int, most: int, most_bytes: int
-) -> Whole:
+    docs: DataFrame, sample: DataFrame, text: str, hashed, all_docs: int, most: int, most_bytes: int
+) -> tuple[Whole, dict, list]:
     """`most` examples, as many of each label while there are, up to `most_bytes`, by all their
-    words. Each votes for as many as its label has among the examples for one taken."""
+    words. Each votes for as many as its label has among the examples for one taken. Also
+    their vectors by key, and the keys of those without any term in `hashed`."""
     one = sample.where(F.octet_length("_text") > 0)
     # One task ranks the bounded examples by size only; texts are joined after.
     sizes = one.select(
@@ -365,14 +400,16 @@ def _whole(
                 made = _split(*_words(texts[:n], found[:n]), len(bounds) - 1)
                 columns = [
                     *[batch.column(i).slice(first, len(made)) for i in (1, 2, 3)],
+                    pa.array(np.bincount(_counted(hashed, texts, found)[0], minlength=len(made))),
                     pa.array([m[0].view(np.int64) for m in made], pa.list_(pa.int64())),
                     pa.array([m[1] for m in made], pa.list_(pa.int64())),
                 ]
-                names = ["key", "label", "of_label", "terms", "counts"]
+                names = ["key", "label", "of_label", "held", "terms", "counts"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = one.join(ranked, "_key").select("_text", "_key", "_label", "of_label").mapInArrow(
-        vectors, f"key {key}, label int, of_label bigint, terms array<bigint>, counts array<bigint>"
+        vectors,
+        f"key {key}, label int, of_label bigint, held bigint, terms array<bigint>, counts array<bigint>",
     )
     # Bounded by `most_bytes`; as Arrow, since rows of Python numbers take ten times the room.
     got = rows.toArrow()
@@ -393,7 +430,10 @@ def _whole(
     unseen = float(np.log((1 + all_docs) / 2) + 1)
     numbers = [np.searchsorted(terms, h) for h in hashes]
     pairs = list(zip(numbers, counts, strict=True))
-    return Whole.of(terms, idf, pairs, labels, [keys[i] for i in at], votes, unseen)
+    keys = [keys[i] for i in at]
+    bare = [key for key, n in zip(keys, got["held"].to_numpy()[at], strict=True) if not n]
+    made = Whole.of(terms, idf, pairs, labels, keys, votes, unseen)
+    return made, dict(zip(keys, pairs, strict=True)), bare
 
 
 def _word_frequencies(terms: np.ndarray):
