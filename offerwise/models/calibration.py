@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerwise.functions import hash_bucket
-from offerwise.models.fitting import Learner, assemble_model, model_inputs, training_vectors
+from offerwise.models.fitting import (
+    Learner,
+    assemble_model,
+    fits_at_once,
+    model_inputs,
+    training_vectors,
+)
 from offerwise.models.tuning import FOLDS, fold_of
 from offerwise.operators.calibrated import BINS
 from offerwise.schemas import OUTCOMES, PROBABILITIES
@@ -48,7 +54,8 @@ def calibrate(
         return Pipeline(stages=classifiers).fit(vectors.where(F.col("fold") != fold))
 
     with training_vectors(placed, features, kept) as vectors:
-        models = _side_by_side(train.sparkSession, fit_fold, range(folds))
+        at_once = fits_at_once(vectors, folds)
+        models = _side_by_side(train.sparkSession, fit_fold, range(folds), at_once)
         scored = [
             _binned(fitted.transform(vectors.where(F.col("fold") == fold)), learner, fold, weight)
             for fold, fitted in enumerate(models)
@@ -74,10 +81,12 @@ def calibrate(
     return assemble_model(features, [*stages, _average(folds)])
 
 
-def _side_by_side(spark: SparkSession, fit: Callable, items: Iterable) -> list:
+def _side_by_side(
+    spark: SparkSession, fit: Callable, items: Iterable, at_once: int | None = None
+) -> list:
     """Independent fits, run at the same time so that their jobs share the executors."""
     tasks = [inheritable_thread_target(spark)(partial(fit, item)) for item in items]
-    with ThreadPoolExecutor(len(tasks)) as pool:
+    with ThreadPoolExecutor(at_once or len(tasks)) as pool:
         return list(pool.map(lambda task: task(), tasks))
 
 

@@ -11,14 +11,20 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions import hash_bucket
-from offerwise.models.fitting import Learner, model_inputs, softmax_scorer, training_vectors
+from offerwise.models.fitting import (
+    Learner,
+    fits_at_once,
+    model_inputs,
+    softmax_scorer,
+    training_vectors,
+)
 from offerwise.operators.metrics import log_loss
 from offerwise.operators.scoring import SoftmaxScorer, with_given, with_probabilities
 
@@ -93,24 +99,62 @@ def _cross_validated(
     def held_out(fold: int) -> DataFrame:
         return vectors.where(F.col("fold") == fold)
 
-    def judged(task: tuple[int, dict]) -> SoftmaxScorer | float:
-        fold, settings = task
-        fitted = estimator.fit(vectors.where(F.col("fold") != fold), settings)
+    def judged(task: tuple[int, list[int]]) -> list[SoftmaxScorer | float]:
+        fold, chain = task
+        rows = vectors.where(F.col("fold") != fold)
         if linear:
-            model = fitted.stages[0]
-            return softmax_scorer(model, [f"x{j}" for j in range(model.numFeatures)])
-        return evaluator.evaluate(fitted.transform(held_out(fold)))
-
-    tasks = [(fold, settings) for fold in range(folds) for settings in maps]
+            return [
+                softmax_scorer(m, [f"x{j}" for j in range(m.numFeatures)])
+                for m in _fitted_chain(rows, estimator, [maps[i] for i in chain])
+            ]
+        return [evaluator.evaluate(estimator.fit(rows, maps[i]).transform(held_out(fold))) for i in chain]
+
+    chains = _chains(maps) if linear else [[i] for i in range(len(maps))]
+    tasks = [(fold, chain) for fold in range(folds) for chain in chains]
     run = [inheritable_thread_target(vectors.sparkSession)(partial(judged, task)) for task in tasks]
     with ThreadPoolExecutor(min(parallelism, len(run))) as pool:
-        found = list(pool.map(lambda task: task(), run))
-    by_fold = [found[i : i + len(maps)] for i in range(0, len(found), len(maps))]
+        judgements = list(pool.map(lambda task: task(), run))
+    by_fold = [[None] * len(maps) for _ in range(folds)]
+    for (fold, chain), found in zip(tasks, judgements, strict=True):
+        for i, one in zip(chain, found, strict=True):
+            by_fold[fold][i] = one
     if linear:
         by_fold = [linear_losses(held_out(f), scorers) for f, scorers in enumerate(by_fold)]
     return [sum(losses) / folds for losses in zip(*by_fold, strict=True)]
 
 
+def _iterations(settings: dict) -> int:
+    return next((v for p, v in settings.items() if p.name == "maxIter"), 0)
+
+
+def _chains(maps: list[dict]) -> list[list[int]]:
+    """Places of the settings that differ in nothing but the iterations allowed, fewest first."""
+    chains: dict[frozenset, list[int]] = {}
+    for i in sorted(range(len(maps)), key=lambda i: _iterations(maps[i])):
+        rest = frozenset((p.name, v) for p, v in maps[i].items() if p.name != "maxIter")
+        chains.setdefault(rest, []).append(i)
+    return list(chains.values())
+
+
+def _fitted_chain(
+    rows: DataFrame, estimator: Pipeline, chain: list[dict]
+) -> list[LogisticRegressionModel]:
+    """A linear model for each setting of a chain.
+
+    A fit that ended before its last iteration takes the same steps when more are allowed, so
+    its model is theirs too.
+    """
+    models = []
+    settled = False
+    for settings in chain:
+        if not settled:
+            model = estimator.fit(rows, settings).stages[0]
+            # The history starts with the value before the first iteration.
+            settled = len(model.summary.objectiveHistory) <= model.getMaxIter()
+        models.append(model)
+    return models
+
+
 def linear_losses(vectors: DataFrame, scorers: Sequence[SoftmaxScorer]) -> list[float]:
     """Log loss of each model on the same rows (features, label): one job, one row of losses.
 
@@ -141,10 +185,10 @@ def tune(
 ) -> tuple[Learner, list[tuple[dict, float]]]:
     """The learner with the best settings, and every drawn setting with its log loss.
 
-    `parallelism` is how many fits run at a time: by default as many as there are cores, up to
-    the number of fits.
+    `parallelism` is how many fits run at a time: by default as many as there are cores, but no
+    more than memory holds the rows of (see `fits_at_once`).
     """
-    parallelism = parallelism or train.sparkSession.sparkContext.defaultParallelism
+    cores = train.sparkSession.sparkContext.defaultParallelism
     settings = draw_settings(space or SEARCH_SPACE[learner.family], draws, seed)
     classifiers = learner.classifiers(model_inputs(features), weight)
     maps = [
@@ -154,7 +198,8 @@ def tune(
     kept = ["fold", *([weight] if weight else [])]
     placed = train.withColumn("fold", fold_of(F.col(key), folds))
     with training_vectors(placed, features, kept) as vectors:
-        losses = _cross_validated(vectors, Pipeline(stages=classifiers), maps, folds, parallelism)
+        side_by_side = parallelism or fits_at_once(vectors, cores)
+        losses = _cross_validated(vectors, Pipeline(stages=classifiers), maps, folds, side_by_side)
     results = list(zip(settings, losses, strict=True))
     finite = [r for r in results if math.isfinite(r[1])]
     if not finite:
