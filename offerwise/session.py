@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Readers cut large files, but not a row group: a file holds one of bounded size.
+ROWS_PER_FILE = 500_000
+
 _paths: dict[str, list[str]] = {}
 
 
@@ -54,5 +57,5 @@ def store(df: DataFrame, name: str) -> DataFrame:
     are fixed only once computed (such as a partition number) stay fixed.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
