@@ -97,21 +97,28 @@ def append_batch(
     def with_history(purchases: DataFrame, count: int) -> DataFrame:
         return windows_of(purchases, count, limits["hot_user_rows"], limits["chunk_rows"])
 
-    fresh = _matching(new.drop(MONTH), late, ["username"], "left_anti")
+    def unless_late(df: DataFrame) -> DataFrame:
+        return _matching(df, late, ["username"], "left_anti") if some_late else df
+
+    fresh = unless_late(new.drop(MONTH))
     priced = join_cells(stage_purchases(fresh, static_ip_pattern), cells, *cell_limits)
-    gone_on = carried(lookup_left_join(with_history(priced, rows), _around(met), ["username"]))
+    gone_on = with_history(priced, rows)
+    if known:  # before the first batch lies nothing
+        gone_on = carried(lookup_left_join(gone_on, _around(met), ["username"]))
     made = mart_rows(finished(gone_on), as_of, grace_days)
     if known:
         mart = read_mart(spark, f"{root}/mart")
-        old = _matching(mart.where(_in(affected)), late, ["username"], "left_anti")
+        old = unless_late(mart.where(_in(affected)))
         old = _matching(old, new, ROW, "left_anti")
         made = made.unionByName(_updated(old, updates, cells, touched, cell_limits))
     if some_late:
         priced = _priced_again(stage_purchases(rebuilt.drop(MONTH), static_ip_pattern), mart, late, cells, cell_limits)
         whole_history = finished(with_history(priced, rebuilt.count()))
         made = made.unionByName(mart_rows(whole_history, as_of, grace_days))
-    _write(store(made, "rewritten-months"), f"{root}/mart")
-    _merged(state, new).write.parquet(f"{version_path(root, number)}/state")
+    if known:  # the months are read while they are written anew
+        made = store(made, "rewritten-months")
+    _write(made, f"{root}/mart")
+    (_merged(state, new) if known else _latest(new)).write.parquet(f"{version_path(root, number)}/state")
     complete(spark, root, number, {"batches": [*facts["batches"], number], "as_of": as_of})
     return number
 
