@@ -375,7 +375,9 @@ def _offer_columns(offers: DataFrame) -> DataFrame:
 
 @query
 def q_optimal_discount(spark, sf_dir):
-    return _offer_columns(optimal_discount(_scored(spark, sf_dir), "purchaseid"))
+    # Only what is asked for goes through the sort and the shuffle, a row per discount.
+    offers = ("purchaseid", "scenario_id", "simulated_discount", "offered_price", "arpu", "expected_value")
+    return _offer_columns(optimal_discount(_scored(spark, sf_dir).select(*offers), "purchaseid"))
 
 
 def _offers(spark, sf_dir):
