@@ -62,7 +62,11 @@ def read_checked_csv(
     line = F.coalesce(RAW, F.to_json(F.struct(*[f"`{c}`" for c in schema.names])))
     told = rows.select(
         *[f"`{c}`" for c in schema.names],
-        F.struct(F.col("_metadata.file_name").alias("file"), line.alias("line"), reason.alias("reason")).alias(RAW),
+        F.struct(
+            F.col("_metadata.file_name").alias("file"),
+            F.when(reason.isNotNull(), line).alias("line"),  # good rows need no text of themselves
+            reason.alias("reason"),
+        ).alias(RAW),
     )
     stored = store(told, "checked-rows")
     return Checked(
