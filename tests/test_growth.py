@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from offerwise import session
 from offerwise.models import Learner, fitting, tuning
 from offerwise.models.fitting import fits_at_once, model_inputs, training_vectors
+from offerwise.plans import incremental
+from offerwise.plans.mart import build_mart
+from offerwise.registry import inputs
+from offerwise.sources.quarantine import read_checked_cohort
 
 FEATURES = ["arpu", "duration"]
 
@@ -78,3 +82,61 @@ def test_stored_files_are_bounded(spark, monkeypatch):
     path = session.store(spark.range(0, 95, 1, 1), "small-files").inputFiles()[0]
     files = glob.glob(os.path.join(os.path.dirname(path.removeprefix("file://")), "*.parquet"))
     assert sorted(pq.ParquetFile(f).metadata.num_rows for f in files) == [5] + [10] * 9
+
+
+def stored_names(spark):
+    return [os.path.basename(p) for p in session._paths[spark.sparkContext.applicationId]]
+
+
+def test_first_batch_is_written_once(spark, tmp_path):
+    log = purchase_log(spark, 40)
+    before = len(stored_names(spark))
+    incremental.append_batch(log.where("purchaseid < 30"), str(tmp_path / "mart"), "2024-03-01")
+    assert not [n for n in stored_names(spark)[before:] if n.startswith("rewritten-months")]
+    incremental.append_batch(log.where("purchaseid >= 30"), str(tmp_path / "mart"), "2024-06-01")
+    grown = incremental.incremental_mart(spark, str(tmp_path / "mart")).collect()
+    whole = build_mart(log, "2024-06-01").collect()
+    assert sorted(map(str, grown)) == sorted(map(str, whole))
+
+
+def purchase_log(spark, n):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") * 3)
+    return spark.range(0, n, 1, 2).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 5).alias("username"),
+        F.col("id").alias("purchaseid"),
+        F.when(F.col("id") % 11 != 0, day).alias("purchasedate"),
+        F.date_add(day, 10).alias("expirationdate"),
+        (F.col("id") % 9 + 1).cast("decimal(18,2)").alias("price"),
+        F.lit(10).alias("duration"),
+        F.lit(50).alias("bandwidth"),
+        F.lit(0).alias("gig_product"),
+        F.lit("a").alias("productname"),
+        (F.col("id") % 3).alias("flowcount"),
+        (F.col("id") % 4).alias("disruptioncount"),
+    )
+
+
+def test_good_rows_are_stored_without_their_text(spark, tmp_path):
+    path = str(tmp_path / "cohort")
+    rows = [(1, 10.0, 1.0, 0.5, 30), (2, -1.0, 1.0, 0.5, 30)]
+    spark.createDataFrame(rows, "username long, catalog_price double, arpu double, arpu_trend double, duration int").write.option("header", True).csv(path)
+    before = len(stored_names(spark))
+    checked = read_checked_cohort(spark, path)
+    (stored,) = session._paths[spark.sparkContext.applicationId][before:]
+    lines = [r[0] for r in spark.read.parquet(stored).select("_raw_line.line").collect()]
+    assert sorted(line is None for line in lines) == [False, True]
+    (bad,) = checked.bad.collect()
+    assert bad.reason == "negative price" and "-1.0" in bad.line
+    assert checked.good.count() == 1
+
+
+def test_default_boosting_writes_no_checkpoints(spark):
+    for classifier in Learner("boosted").classifiers(["arpu"]):
+        assert classifier.getCheckpointInterval() > classifier.getMaxIter()
+
+
+def test_mart_of_the_jobs_is_not_moved_by_month(spark):
+    inputs.mart(spark, "/root/testdata/sf0.001").count()
+    assert any(n.startswith("mart-") for n in stored_names(spark))
+    files = inputs.mart(spark, "/root/testdata/sf0.001").inputFiles()
+    assert not any("purchase_month=" in f for f in files)
