@@ -135,8 +135,14 @@ def test_default_boosting_writes_no_checkpoints(spark):
         assert classifier.getCheckpointInterval() > classifier.getMaxIter()
 
 
-def test_mart_of_the_jobs_is_not_moved_by_month(spark):
-    inputs.mart(spark, "/root/testdata/sf0.001").count()
-    assert any(n.startswith("mart-") for n in stored_names(spark))
-    files = inputs.mart(spark, "/root/testdata/sf0.001").inputFiles()
-    assert not any("purchase_month=" in f for f in files)
+def test_large_mart_of_the_jobs_is_not_moved_by_month(spark, monkeypatch):
+    log = purchase_log(spark, 40)
+    by_month = {}
+    for most in (0, 1000):
+        monkeypatch.setattr(inputs, "_stored", {})
+        monkeypatch.setattr(inputs, "MOST_ROWS_MOVED", most)
+        monkeypatch.setattr(inputs, "purchases", lambda *_: log)
+        mart = inputs.mart(spark, "any")
+        by_month[most] = any("purchase_month=" in f for f in mart.inputFiles())
+        assert sorted(map(str, mart.collect())) == sorted(map(str, build_mart(log, inputs.AS_OF, static_ip_pattern=inputs.STATIC_IP).collect()))
+    assert by_month == {0: False, 1000: True}
