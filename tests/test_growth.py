@@ -85,7 +85,7 @@ def test_stored_files_are_bounded(spark, monkeypatch):
 
 
 def stored_names(spark):
-    return [os.path.basename(p) for p in session._paths[spark.sparkContext.applicationId]]
+    return [os.path.basename(p) for p in session._paths.get(spark.sparkContext.applicationId, [])]
 
 
 def test_first_batch_is_written_once(spark, tmp_path):
@@ -122,7 +122,7 @@ def test_good_rows_are_stored_without_their_text(spark, tmp_path):
     spark.createDataFrame(rows, "username long, catalog_price double, arpu double, arpu_trend double, duration int").write.option("header", True).csv(path)
     before = len(stored_names(spark))
     checked = read_checked_cohort(spark, path)
-    (stored,) = session._paths[spark.sparkContext.applicationId][before:]
+    (stored,) = session._paths.get(spark.sparkContext.applicationId, [])[before:]
     lines = [r[0] for r in spark.read.parquet(stored).select("_raw_line.line").collect()]
     assert sorted(line is None for line in lines) == [False, True]
     (bad,) = checked.bad.collect()
