@@ -1,6 +1,8 @@
 """Envelopes over the downgrade ratio, monotone and calibrated scores, attributions."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -193,6 +195,45 @@ def test_calibrated_plan_has_no_exchange(cohort):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_steps_of_calibrated_offers_hand_on_few_values(spark, cohort):
+    """The JVM leaves methods of some 70 parameters, and those that call them, half compiled."""
+    scorer = CalibratedScorer(CALIBRATED.folds[:1] * 3, CALIBRATED.curves[:1] * 3)
+    explain = spark._jvm.PythonSQLUtils.explainString
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for columns in (["simulated_discount"], ["purchaseid", "simulated_discount", "expected_value"]):
+            offers = best_offer(cohort, scorer).select(*columns)
+            code = explain(offers._jdf.queryExecution(), "codegen")
+            steps = re.findall(r"void generate_doConsume_\w+\(([^)]*)\)", code)
+            assert steps and max(len(step.split(",")) for step in steps) <= 55
+            assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_broken_scores_stay_broken(spark, cohort, ansi):
+    """NaN margins give NaN, and no curve reads the knots of the next."""
+    endless = SoftmaxScorer(("arpu",), ((1e308,), (1e308,), (0.0,)), (0.0, 0.0, 0.0))
+    curve = Curve((0.2, 0.7), (0.3, 0.6))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = cohort.where("arpu > 10 and catalog_price > 0").orderBy("purchaseid").limit(5)
+        broken = CalibratedScorer((endless,), ((curve,) * 3,))(rows).collect()
+        assert broken and all(math.isnan(r[p]) for r in broken for p in PROBABILITIES)
+        offers = best_offer(rows, CalibratedScorer((endless,), ((curve,) * 3,))).collect()
+        assert all(r.scenario_id == 0 and r.expected_value is None for r in offers)
+        sound = CalibratedScorer((inputs.SCORER,) * 2, ((curve,) * 3,) * 2)
+        alone = CalibratedScorer((inputs.SCORER,), ((curve,) * 3,))
+        both = best_offer(rows, sound).collect()
+        for twice, once in zip(both, best_offer(rows, alone).collect(), strict=True):
+            assert twice.expected_value == pytest.approx(once.expected_value, rel=1e-12)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_scores_that_are_all_zero_are_shared(cohort):
     flat = Curve((0.5,), (0.0,))
     scorer = CalibratedScorer((inputs.SCORER,), ((flat, flat, flat),))
