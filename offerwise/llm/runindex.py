@@ -38,9 +38,14 @@ SPAN = 50
 K = 24
 WINDOWS = SPAN - K + 1
 BUCKET = 200_000
-SHARD = 12_000
 CROWD = 100
 
+# What a task's Python holds besides its batch follows these: bytes of text at a time, contexts
+# of an index (some 9 kB each), and crowded contexts whose strings are made at a time.
+BLOCK = 1 << 18
+SHARD = 3_000
+STRINGS_OF = 512
+
 # One odd factor for each word of a gram.
 _FACTORS = np.random.default_rng(50).integers(0, 1 << 63, K // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SAMPLED = 16
@@ -286,7 +291,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, bounds in words.blocks(batch.column(0)):
+            for _, data, bounds in words.blocks(batch.column(0), BLOCK):
                 value, text, _, _ = anchors(data, bounds)
                 pairs = np.unique(np.stack((text.astype(np.uint64), value)), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[1].view(np.int64))], names=["h"])
@@ -325,7 +330,7 @@ def _shared(docs: DataFrame, frequent, bits: int) -> DataFrame:
         for batch in batches:
             value, cls = [], []
             marks = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for first, data, bounds in words.blocks(batch.column(0)):
+            for first, data, bounds in words.blocks(batch.column(0), BLOCK):
                 h, text, _, _ = anchors(data, bounds)
                 cold = ~_member(h, frequent.value)
                 value.append(h[cold])
@@ -371,7 +376,7 @@ def _contexts(rows: DataFrame, frequent, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, t, lists = batch.column(1), batch.column(2), batch.column(3)
-            for start, data, bounds in words.blocks(batch.column(0)):
+            for start, data, bounds in words.blocks(batch.column(0), BLOCK):
                 h, text, first, last = anchors(data, bounds)
                 lists_ = lists.slice(start, len(bounds) - 1)
                 wanted = lists_.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -415,8 +420,8 @@ def _strings(contexts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+            for at in range(0, whole.num_rows, STRINGS_OF):
+                batch = whole.slice(at, STRINGS_OF)
                 _, offsets, data = batch.column(3).buffers()
                 n = batch.num_rows
                 ends = np.frombuffer(offsets, np.int32, n + 1, batch.column(3).offset * 4).astype(np.int64)
@@ -559,7 +564,7 @@ RESULT = pa.schema(
 def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Take the marked bytes out of each text."""
     copy = batch.column(1).to_pylist()
-    for first, data, bounds in words.blocks(batch.column(0)):
+    for first, data, bounds in words.blocks(batch.column(0), BLOCK):
         made = []
         for i in range(len(bounds) - 1):
             raw = data[bounds[i] : bounds[i + 1]]

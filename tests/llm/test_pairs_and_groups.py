@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -208,6 +210,28 @@ def test_run_index_matches_brute_force():
             assert mask == got[i]
 
 
+def test_run_index_keeps_to_little_memory():
+    """What a task holds besides its rows: one index, or the arrays of a block of text."""
+    base = np.random.default_rng(4).integers(97, 123, 1_000_000).astype(np.uint8)
+    bodies = [base[i * 11 : i * 11 + 50 + i % 27].tobytes() for i in range(runindex.SHARD)]
+    numbers = pa.array(np.arange(runindex.SHARD))
+    shard = pa.table({"h": numbers, "c": numbers, "doc": numbers, "body": pa.array(bodies, pa.binary())})
+    texts = pa.array([base[i : i + 5000].tobytes().decode() for i in range(0, 1_000_000, 5000)])
+    tracemalloc.start()
+    try:
+        assert runindex._indexed(shard).num_rows > 0
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+        tracemalloc.reset_peak()
+        before, width = tracemalloc.get_traced_memory()[0], 0
+        for _, data, bounds in runindex.words.blocks(texts, runindex.BLOCK):
+            runindex.anchors(data, bounds)
+            width += len(data)
+        assert width == 1_000_000
+        assert tracemalloc.get_traced_memory()[1] - before < 20e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_stage_keeps_one_of_each_component(spark, docs_of, hard):
     """Near copies, NULL, empty and repeated rows, against fingerprints compared pair by pair."""
     pick = np.random.default_rng(3)
