@@ -323,7 +323,8 @@ def _packed(rows: np.ndarray) -> np.ndarray:
 
 
 def _shared(docs: DataFrame, frequent, bits: int) -> DataFrame:
-    """(cls, h): the cut-off hashes of anchors that two or more different texts have, by text."""
+    """(cls, h): the mixed, cut-off hashes of anchors that two or more different texts have, by
+    text."""
     shift = np.uint64(64 - bits)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +334,8 @@ def _shared(docs: DataFrame, frequent, bits: int) -> DataFrame:
             for first, data, bounds in words.blocks(batch.column(0), BLOCK):
                 h, text, _, _ = anchors(data, bounds)
                 cold = ~_member(h, frequent.value)
-                value.append(h[cold])
+                # An anchor is the least of many hashes: mixed again, they fill all buckets alike.
+                value.append(words.mixed(h[cold]))
                 cls.append(marks[first + text[cold]])
             value, cls = np.concatenate(value), np.concatenate(cls)
             order = np.argsort(value)
@@ -383,7 +385,7 @@ def _contexts(rows: DataFrame, frequent, bits: int) -> DataFrame:
                 counts = np.array([0 if x is None else x for x in pa.compute.list_value_length(lists_).to_pylist()], np.int64)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 have = words.mixed(wanted * np.uint64(0x9E3779B97F4A7C15) + owner.astype(np.uint64))
-                ask = words.mixed((h >> keep) * np.uint64(0x9E3779B97F4A7C15) + text.astype(np.uint64))
+                ask = words.mixed((words.mixed(h) >> keep) * np.uint64(0x9E3779B97F4A7C15) + text.astype(np.uint64))
                 hit = np.flatnonzero(_member(ask, np.sort(have)) | _member(h, frequent.value))
                 begin = bounds[text[hit]] + first[hit]
                 size = last[hit] - first[hit] + SPAN

@@ -232,6 +232,17 @@ def test_run_index_keeps_to_little_memory():
         tracemalloc.stop()
 
 
+def test_anchors_are_dealt_evenly(spark, docs_of):
+    random = np.random.default_rng(5)
+    texts = [random.integers(97, 123, 4000).astype(np.uint8).tobytes().decode() for _ in range(40)]
+    docs = docs_of([(2 * i + j, t + "!" * j, None, None) for i, t in enumerate(texts) for j in (0, 1)])
+    cls = F.shiftrightunsigned(F.xxhash64("text"), 24)
+    none = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
+    shared = runindex._shared(docs.select("text", cls.alias("cls")), none, 5).select("h").toPandas().h
+    sizes = np.bincount(shared.to_numpy() >> 40, minlength=32)
+    assert len(sizes) == 32 and sizes.max() < 2 * sizes.mean()
+
+
 def test_stage_keeps_one_of_each_component(spark, docs_of, hard):
     """Near copies, NULL, empty and repeated rows, against fingerprints compared pair by pair."""
     pick = np.random.default_rng(3)
