@@ -22,3 +22,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def let_go(spark):
+    """Frames that one module holds would show in the plans of the next."""
+    yield
+    spark.catalog.clearCache()

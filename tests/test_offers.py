@@ -21,7 +21,7 @@ from offerwise.plans import training
 from offerwise.plans.envelope import envelope_sensitivity, upper_envelope
 from offerwise.plans.strategy import alpha_sensitivity
 from offerwise.registry import inputs
-from offerwise.registry.pricing_queries import CALIBRATED, rough_scores
+from offerwise.registry.pricing_queries import CALIBRATED, _faults_of, rough_scores
 from offerwise.schemas import FEATURES, PROBABILITIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -126,6 +126,37 @@ def test_pooled_trees_never_fall(cohort, family):
     assert falls(even) == 0
 
 
+@pytest.mark.parametrize("family", ["forest", "boosted"])
+def test_code_of_scored_trees_is_compiled(spark, cohort, family):
+    """All discounts of a pipeline in one method were more than the JVM compiles."""
+    params = {"maxDepth": 2} | ({"numTrees": 3} if family == "forest" else {"maxIter": 2})
+    model = models.fit_outcome_model(cohort, FEATURES, models.Learner(family, params=params))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans show no code before they run
+    try:
+        faults = _faults_of(models.scorer_of(model), cohort, family)
+        explain = spark.sparkContext._jvm.PythonSQLUtils.explainString
+        code = explain(faults._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+@pytest.mark.parametrize("family", ["forest", "boosted"])
+def test_scores_at_discounts_are_those_of_single_discounts(cohort, family):
+    params = {"maxDepth": 3} | ({"numTrees": 4} if family == "forest" else {"maxIter": 3})
+    model = models.fit_outcome_model(cohort, FEATURES, models.Learner(family, params=params))
+    scorer = ModelScorer(model, FEATURES)
+    # Scores that a cohort brings along are replaced.
+    prepared = prepare_cohort(cohort).withColumns({p: F.lit(9.0) for p in PROBABILITIES})
+    scored = score_at_discounts(prepared, scorer, GRID)
+    assert not {*PROBABILITIES} & {*scored.df.columns}
+    for i in (0, 3, 6):
+        alone = scorer(at_discount(prepare_cohort(cohort), GRID[i])).select("purchaseid", *PROBABILITIES)
+        assert alone.count() == cohort.count()
+        assert alone.exceptAll(scored.df.selectExpr("purchaseid", *scored.p[i])).count() == 0
+
+
 def test_broken_scores_stay(cohort):
     def holed(df):
         scored = rough_scores(df)
